@@ -117,12 +117,12 @@ def join_actual_pred(spark, sf_dir):
 
 
 @query("avg_by_date", """
-    select cast(cast(o_orderdate as date) as string) as day, round(avg(o_totalprice), 4) as mean_price, round(avg(o_custkey), 4) as mean_key
+    select cast(cast(o_orderdate as date) as string) as day, round(avg(o_totalprice), 6) as mean_price, round(avg(o_custkey), 6) as mean_key
     from orders group by 1""")
 def avg_by_date(spark, sf_dir):
     day = F.col("o_orderdate").cast("date").cast("string").alias("day")
     return table(spark, sf_dir, "orders").groupBy(day).agg(
-        F.round(F.avg("o_totalprice"), 4).alias("mean_price"), F.round(F.avg("o_custkey"), 4).alias("mean_key")
+        r6(F.avg("o_totalprice")).alias("mean_price"), r6(F.avg("o_custkey")).alias("mean_key")
     )
 
 
