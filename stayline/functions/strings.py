@@ -11,18 +11,21 @@ HAN_RUNS = "[\\u4e00-\\u9fa5]+"
 HAN_THEN_NUMBER = "[\\u4e00-\\u9fa5]+\\s*[0-9]+"
 
 
+BLANKS = "".join(chr(i) for i in range(33))
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
 def split_fields(line: Column | str, sep: str = "\t") -> Column:
-    """Split and drop trailing empty fields, the way a JVM ``String.split`` does."""
-    return F.split(F.regexp_replace(_c(line), f"(?:{sep})+$", ""), sep)
+    """Split at a single character and drop trailing empty fields, the way a JVM ``String.split`` does."""
+    return F.split(F.rtrim(_c(line), F.lit(sep)), sep)
 
 
 def strip(text: Column | str) -> Column:
-    """Drop blanks and control characters at both ends (``F.trim`` drops only spaces)."""
-    return F.regexp_replace(_c(text), "\\A[\\x00-\\x20]+|[\\x00-\\x20]+\\z", "")
+    """Drop blanks and control characters at both ends (``F.trim`` alone drops only spaces)."""
+    return F.btrim(_c(text), F.lit(BLANKS))
 
 
 def field(parts: Column | str, index: int) -> Column:
@@ -51,12 +54,13 @@ def distinct_chars(text: Column | str) -> Column:
     return F.array_join(F.array_distinct(F.split(_c(text), "")), "")
 
 
-def before_last_space(text: Column | str) -> Column:
-    return F.regexp_extract(_c(text), "(?s)\\A(.*) ([^ ]*)\\z", 1)
+def after_last_space(text: Column | str) -> Column:
+    return F.substring_index(_c(text), " ", -1)
 
 
-def after_last_space(text: Column | str) -> Column:
-    return F.regexp_extract(_c(text), "(?s)\\A(.*) ([^ ]*)\\z", 2)
+def before_last_space(text: Column | str) -> Column:
+    """The text in front of the last space; only meaningful where there is one."""
+    return F.left(_c(text), F.length(_c(text)) - F.length(after_last_space(text)) - 1)
 
 
 def last_piece(text: Column | str, sep: str = "_") -> Column:

@@ -128,41 +128,51 @@ def continuity_by_guid(views: DataFrame, guid: str = "guid", show: str = "showna
     )
 
 
-def _edge_rows(rows: DataFrame, keys: list[str], v: str) -> DataFrame:
-    """The two largest and two smallest values per group, one row per group.
+def _counted_titles(titles: DataFrame, title: str) -> DataFrame:
+    """Distinct titles and how often each occurs (``title``, ``times``).
 
-    ``row_number() <= 2`` is pushed below the shuffle (a group limit per partition), so a group that
-    holds most rows still sends two rows per input partition.
+    Popular titles repeat, so the pattern work below runs once per title instead of once per view.
     """
+    return titles.groupBy(F.col(title).alias("title")).agg(F.count(F.lit(1)).alias("times"))
+
+
+def edge_stats(rows: DataFrame, keys: list[str], v: str = "v", repeats: bool = False, times: str | None = None) -> DataFrame:
+    """n and the four order statistics over unbounded values; a single value fills all four.
+
+    With ``repeats`` equal values count as often as they occur (``times`` names a column of row counts), else
+    once. Values are counted per
+    (keys, value) first. Of those cells the two largest and two smallest per group are found by
+    ``row_number() <= 2``, which Spark applies per partition before the shuffle, so a group that holds most
+    of the rows still sends two cells per partition. A group without any value keeps NULLs.
+    """
+    cells = rows.groupBy(*keys, v).agg((F.sum(times) if times else F.count(F.lit(1))).alias("_n"))
+    number = F.sum(F.when(F.col(v).isNotNull(), F.col("_n"))) if repeats else F.count(v)
+    counts = cells.groupBy(*keys).agg(F.coalesce(number, F.lit(0)).cast("bigint").alias("n"))
+
     def edge(order: Column, first: str, second: str) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(order)
-        top = rows.select(*keys, v, F.row_number().over(w).alias("_rn")).where(F.col("_rn") <= 2)
-        return top.groupBy(*keys).agg(
-            F.max(F.when(F.col("_rn") == 1, F.col(v))).alias(first),
-            F.max(F.when(F.col("_rn") == 2, F.col(v))).alias(second),
-        )
-
-    return edge(F.desc(v), "max", "max_2").join(edge(F.asc(v), "min", "min_2"), keys)
-
-
-def edge_stats(rows: DataFrame, keys: list[str], v: str = "v") -> DataFrame:
-    """n and the four order statistics over unbounded values; a single value fills all four."""
-    counts = rows.groupBy(*keys).agg(F.count(v).alias("n"))
-    edges = _edge_rows(rows.where(F.col(v).isNotNull()), keys, v)
-    df = counts.join(edges, keys, "left")
-    return df.select(
-        *keys, "n", "max", F.coalesce("max_2", "max").alias("max_2"), "min", F.coalesce("min_2", "min").alias("min_2")
+        top = cells.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 2)
+        one, two = (F.max(F.when(F.col("_rn") == i, F.col(v))) for i in (1, 2))
+        again = F.max(F.when((F.col("_rn") == 1) & (F.col("_n") > 1), F.col(v))) if repeats else F.lit(None)
+        return top.groupBy(*keys).agg(one.alias(first), F.coalesce(again, two, one).alias(second))
+
+    high = edge(F.desc_nulls_last(v), "max", "max_2")
+    low = edge(F.asc_nulls_last(v), "min", "min_2")
+    return counts.join(high, keys).join(low, keys).select(*keys, "n", "max", "max_2", "min", "min_2")
+
+
+def _show_rows(titles: DataFrame, title: str, names: str) -> DataFrame:
+    """showname (list of name runs) and v per number; a title without a number gives one NULL."""
+    rows = _counted_titles(titles, title).select(
+        F.array_join(find_all("title", names), ",").alias("showname"),
+        F.explode_outer(find_all("title", NUMBERS)).alias("_run"),
     )
+    return rows.select("showname", F.col("_run").try_cast("double").alias("v"))
 
 
 def episode_order_stats_by_show(titles: DataFrame, title: str = "title", names: str = HAN_RUNS) -> DataFrame:
     """Per list of name runs: order statistics of the distinct unclamped numbers; NULL where there are none."""
-    rows = titles.select(
-        F.array_join(find_all(title, names), ",").alias("showname"),
-        F.explode_outer(find_all(title, NUMBERS)).alias("_run"),
-    )
-    rows = rows.select("showname", F.col("_run").try_cast("double").alias("v")).distinct()
-    return edge_stats(rows, ["showname"])
+    return edge_stats(_show_rows(titles, title, names), ["showname"])
 
 
 def split_last_space(title: Column | str) -> tuple[Column, Column]:
@@ -177,22 +187,20 @@ def split_last_space(title: Column | str) -> tuple[Column, Column]:
 
 def episode_order_stats_last_space(titles: DataFrame, title: str = "title") -> DataFrame:
     """Per name before the last space: order statistics of the numbers after it, repeats included."""
-    name, text = split_last_space(title)
-    return edge_stats(titles.select(name.alias("showname"), text.try_cast("double").alias("v")), ["showname"])
+    name, text = split_last_space("title")
+    rows = _counted_titles(titles, title).select(name.alias("showname"), text.try_cast("double").alias("v"), "times")
+    return edge_stats(rows, ["showname"], repeats=True, times="times")
 
 
 def episode_rows_by_title(titles: DataFrame, title: str = "title") -> DataFrame:
     """Rows per name before the last space, repeats included."""
-    return titles.groupBy(split_last_space(title)[0].alias("showname")).agg(F.count(F.lit(1)).alias("n"))
+    rows = _counted_titles(titles, title).select(split_last_space("title")[0].alias("showname"), "times")
+    return rows.groupBy("showname").agg(F.sum("times").alias("n"))
 
 
 def episode_count_by_show(titles: DataFrame, title: str = "title", names: str = HAN_RUNS) -> DataFrame:
     """Distinct numbers per list of name runs; 0 where no title has a number."""
-    rows = titles.select(
-        F.array_join(find_all(title, names), ",").alias("showname"),
-        F.explode_outer(find_all(title, NUMBERS)).alias("_run"),
-    )
-    cells = rows.select("showname", F.col("_run").try_cast("double").alias("v")).distinct()
+    cells = _show_rows(titles, title, names).distinct()
     return cells.groupBy("showname").agg(F.count("v").alias("n"))
 
 

@@ -24,35 +24,35 @@ def pagerank(
 ) -> DataFrame:
     """id, rank with rank ← 0.15 + 0.85·Σ rank_src / outdeg_src, started at 1.
 
-    Runs a fixed number of rounds, or until no rank moves by more than the tolerance (looked at every
+    Runs a fixed number of rounds, or until a round moves no rank by more than the tolerance (looked at every
     ``checkpoint_every`` rounds, when the ranks are cut to the shared folder).
 
-    Edges are written once, bucketed by (src, salt), so a round never shuffles them. A source with more than
+    Vertices and edges are written once, bucketed by id and by (src, salt), so a round shuffles only shares
+    and their sums per target, never the edges. A source with more than
     ``hot_degree`` edges is spread over several salts and its share copied to each, so no bucket
     holds a hot source whole. Shares are summed per target map-side before they shuffle.
     """
     spark = edges.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def placed(df: DataFrame, label: str, *keys: str) -> DataFrame:
+        """Write bucketed by the keys, so that joins on them read without a shuffle."""
+        name = f"{label}_{uuid.uuid4().hex}"
+        writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys)
+        writer.option("path", scratch_path(spark, label)).saveAsTable(name)
+        return spark.table(name)
+
     degree = edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
     salts = F.ceil(F.col("degree") / hot_degree).cast("int")
-    state = cut_lineage(
-        vertices.select("id")
-        .join(degree, "id", "left")
-        .select("id", F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce(salts, F.lit(0)).alias("salts"),
-                F.lit(1.0).alias("rank"), F.lit(None).cast("double").alias("prev"))
-    )
-    hot = state.where(F.col("salts") > 1).select(F.col("id").alias("src"), "salts")
-    salted = edges.join(hot, "src", "left").select(
-        "src", "dst", F.coalesce(F.pmod(F.xxhash64("dst"), F.col("salts")), F.lit(0)).cast("int").alias("salt")
+    nodes = placed(
+        vertices.select("id").join(degree, "id", "left").select(
+            "id", F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce(salts, F.lit(0)).alias("salts")
+        ),
+        "vertices", "id",
     )
-    name = f"edges_{uuid.uuid4().hex}"
-    (
-        salted.repartition(buckets, "src", "salt")
-        .write.bucketBy(buckets, "src", "salt")
-        .option("path", scratch_path(spark, "edges"))
-        .saveAsTable(name)
-    )
-    placed = spark.table(name)
+    hot = nodes.where(F.col("salts") > 1).select(F.col("id").alias("src"), "salts")
+    salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("salts")), F.lit(0)).cast("int")
+    links = placed(edges.join(hot, "src", "left").select("src", "dst", salt.alias("salt")), "edges", "src", "salt")
 
     def step(now: DataFrame) -> DataFrame:
         shares = now.where(F.col("degree") > 0).select(
@@ -61,26 +61,29 @@ def pagerank(
             F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
         )
         incoming = (
-            placed.join(shares, ["src", "salt"]).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("incoming"))
-        )
-        return now.join(incoming, "id", "left").select(
-            "id", "degree", "salts",
-            (F.lit(RESET) + DAMPING * F.coalesce("incoming", F.lit(0.0))).alias("rank"),
-            F.col("rank").alias("prev"),
+            links.join(shares, ["src", "salt"]).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("incoming"))
         )
+        rank = F.lit(RESET) + DAMPING * F.coalesce("incoming", F.lit(0.0))
+        return nodes.join(incoming, "id", "left").select("id", "degree", "salts", rank.alias("rank"))
 
+    state = nodes.withColumn("rank", F.lit(1.0))
     done, limit = 0, max_rounds if rounds is None else rounds
     while done < limit:
-        for _ in range(min(checkpoint_every, limit - done)):
+        ahead = min(checkpoint_every, limit - done)
+        for _ in range(ahead - 1):
+            state = step(state)
+        done += ahead
+        if rounds is not None:
             state = step(state)
-            done += 1
-        if done == limit:
+            if done < limit:
+                state = cut_lineage(state)
+            continue
+        before = cut_lineage(state)
+        state = cut_lineage(step(before))
+        earlier = before.select("id", F.col("rank").alias("earlier"))
+        moved = state.join(earlier, "id").agg(F.max(F.abs(F.col("rank") - F.col("earlier")))).first()[0]
+        if moved is None or moved <= tolerance:
             break
-        state = cut_lineage(state)
-        if rounds is None:
-            moved = state.agg(F.max(F.abs(F.col("rank") - F.col("prev")))).first()[0]
-            if moved is None or moved <= tolerance:
-                break
     return state.select("id", "rank")
 
 

@@ -40,47 +40,39 @@ def sample_exact(df: DataFrame, key: str, class_col: str, sizes: dict[str, int],
     """Exactly ``sizes[c]`` rows of each class c (all of a smaller class): those with the lowest hash.
 
     No class is sorted. Two histograms of the 32-bit hash (65,536 cells each, per class) locate the
-    cut-off hash; rows below it are kept by a plain filter and only rows that share the cut-off hash
-    itself are ranked by key.
+    cut-off hash, the few rows that share it give the cut-off key, and one filter over the rows does the
+    rest. The passes before that filter read only the class and the key.
     """
     wanted = F.create_map(*[x for c, n in sizes.items() for x in (F.lit(c), F.lit(n).cast("bigint"))])
-    rows = df.where(F.col(class_col).isin(*sizes)).withColumn("_h", hash_number(key, seed))
-    rows = rows.withColumns({"_hi": F.col("_h") / 65536, "_lo": F.col("_h") % 65536})
-    rows = rows.withColumn("_hi", F.floor("_hi").cast("bigint"))
+    want = F.element_at(wanted, F.col(class_col))
+    hashed = hash_number(key, seed)
+    rows = df.where(F.col(class_col).isin(*sizes))
+    narrow = rows.select(class_col, key, F.shiftright(hashed, 16).alias("_hi"), (hashed % 65536).alias("_lo"))
 
-    def cut(cells: DataFrame, cell: str, before: Column, out: str) -> DataFrame:
-        """First histogram cell where the running count reaches the wanted size."""
+    def cut(cells: DataFrame, cell: str, before: Column) -> DataFrame:
+        """Per class the first histogram cell where the running count reaches the wanted size."""
         w = Window.partitionBy(class_col).orderBy(cell)
         running = F.sum("_n").over(w) + before
-        want = F.element_at(wanted, F.col(class_col))
         return (
-            cells.select(class_col, F.col(cell).alias(out), running.alias("_cum"), (running - F.col("_n")).alias(f"{out}_before"))
-            .where((F.col("_cum") >= want) & (F.col(f"{out}_before") < want))
-            .drop("_cum")
+            cells.select("*", (running - F.col("_n")).alias("_below"), running.alias("_reached"))
+            .where((F.col("_reached") >= want) & (F.col("_below") < want))
+            .drop("_reached", "_n")
         )
 
-    high = cut(rows.groupBy(class_col, "_hi").agg(F.count(F.lit(1)).alias("_n")), "_hi", F.lit(0), "_cut_hi")
-    in_cell = rows.join(F.broadcast(high), class_col).where(F.col("_hi") == F.col("_cut_hi"))
-    low_cells = in_cell.groupBy(class_col, "_lo", "_cut_hi", "_cut_hi_before").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(class_col).orderBy("_lo")
-    running = F.sum("_n").over(w) + F.col("_cut_hi_before")
-    want = F.element_at(wanted, F.col(class_col))
-    low = (
-        low_cells.select(class_col, "_cut_hi", F.col("_lo").alias("_cut_lo"), running.alias("_cum"), (running - F.col("_n")).alias("_before"))
-        .where((F.col("_cum") >= want) & (F.col("_before") < want))
-        .select(class_col, (F.col("_cut_hi") * 65536 + F.col("_cut_lo")).alias("_cut"), (want - F.col("_before")).alias("_left"))
-    )
-    # one row per class named in sizes: safe to broadcast at any scale
-    marked = rows.drop("_hi", "_lo").join(F.broadcast(low), class_col, "left")
-    whole = marked.where(F.col("_cut").isNull() | (F.col("_h") < F.col("_cut")))
+    count = F.count(F.lit(1)).alias("_n")
+    high = cut(narrow.groupBy(class_col, "_hi").agg(count), "_hi", F.lit(0)).withColumnRenamed("_below", "_before")
+    # high, low and last hold at most one row per class named in sizes: safe to broadcast at any scale
+    low_cells = narrow.join(F.broadcast(high), [class_col, "_hi"]).groupBy(class_col, "_hi", "_before", "_lo").agg(count)
+    low = cut(low_cells, "_lo", F.col("_before")).select(class_col, "_hi", "_lo", (want - F.col("_below")).alias("_left"))
     tie = Window.partitionBy(class_col).orderBy(key)
-    edge = (
-        marked.where(F.col("_h") == F.col("_cut"))
+    last = (
+        narrow.join(F.broadcast(low), [class_col, "_hi", "_lo"])
         .withColumn("_rn", F.row_number().over(tie))
-        .where(F.col("_rn") <= F.col("_left"))
-        .drop("_rn")
+        .where(F.col("_rn") == F.col("_left"))
+        .select(class_col, (F.col("_hi") * 65536 + F.col("_lo")).alias("_cut"), F.col(key).alias("_last"))
     )
-    return whole.unionByName(edge).drop("_h", "_cut", "_left")
+    below = F.col("_cut").isNull() | (hashed < F.col("_cut")) | ((hashed == F.col("_cut")) & (F.col(key) <= F.col("_last")))
+    return rows.join(F.broadcast(last), class_col, "left").where(below).select(*df.columns)
 
 
 def rebalance(df: DataFrame, key: str, class_col: str, rates: dict[str, float], seed: int | str) -> DataFrame:

@@ -8,6 +8,7 @@ from stayline.functions.strings import field, split_fields
 from stayline.operators import sampling
 from stayline.plans.oracle_views import hash_number, with_views
 from stayline.plans.registry import query
+from stayline.session import cut_lineage
 from stayline.sources import views
 from stayline.sources.tables import table
 
@@ -37,7 +38,7 @@ _SIZES = {"a": 300, "b": 200, "c": 100}
         (partition by cls order by {hash_number('c_custkey', 888)}, c_custkey) as rn from v3)
     where rn <= case cls when 'a' then 300 when 'b' then 200 else 100 end"""))
 def sample_exact(spark, sf_dir):
-    return sampling.sample_exact(_classes(spark, sf_dir), "guid", "cls", _SIZES, 888)
+    return sampling.sample_exact(cut_lineage(_classes(spark, sf_dir)), "guid", "cls", _SIZES, 888)
 
 
 @query("rebalance", with_views("v3", f"""

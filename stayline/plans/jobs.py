@@ -27,9 +27,11 @@ def continuity_model(
 ) -> DataFrame:
     """Views + base features → continuity → balanced sample → decision tree → confusion and rates.
 
-    One shuffle per aggregation level, one left join, and the balanced sample stays on the executors.
+    One shuffle per aggregation level, one left join, and the balanced sample stays on the executors. The
+    training frame (one row per user) is written to the shared folder once; sampling, training and scoring
+    read it from there instead of running the view log again.
     """
-    frame = _with_class(features.train_frame(base_lines, episodes.continuity_by_guid(views)))
+    frame = session.cut_lineage(_with_class(features.train_frame(base_lines, episodes.continuity_by_guid(views))))
     train, test = sampling.random_split(frame.select("guid", "cls", "value", "continuity"), "guid", [0.6, 0.4], split_seed)
     balanced = sampling.sample_exact(train, "guid", "cls", sizes or CLASS_SIZES, sample_seed)
     points = models.as_vectors(features.train_points(balanced, "churn").where("n_bad = 0")).persist()

@@ -15,22 +15,37 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def _split_where(lines: DataFrame, parts: Column, keep: list[str], condition) -> DataFrame:
+    """Columns ``keep`` and ``p``, the field array of the lines whose fields meet the condition.
+
+    The condition sits in a generator because Catalyst would push a plain filter below the split and
+    split every line once per predicate.
+    """
+    split = lines.select(*keep, parts.alias("_p"))
+    return split.select(*keep, F.explode(F.when(condition("_p"), F.array("_p"))).alias("p"))
+
+
 def view_log(lines: DataFrame, channel: str | None = None, rule: str = "show", title_pattern: str = HAN_THEN_NUMBER) -> DataFrame:
     """29 named string columns from view-log lines.
 
     ``rule='show'`` keeps rows with a show name, ``rule='title'`` rows whose whole title matches the
-    pattern; both also require the channel when one is given. The filters see the split array, so
-    dropped rows are never projected.
+    pattern; both also require the channel when one is given. Lines that do not contain the channel
+    anywhere are dropped before they are split.
     """
-    df = lines.select(split_fields("value").alias("p"))
-    at = {name: field("p", i) for i, name in enumerate(VIEW_LOG_FIELDS)}
-    if rule == "show":
-        df = df.where(at["showname"] != "")
-    elif rule == "title":
-        df = df.where(matches_all(at["title"], title_pattern))
+    position = {name: i for i, name in enumerate(VIEW_LOG_FIELDS)}
+
+    def wanted(p: str) -> Column:
+        ok = F.lit(True)
+        if rule == "show":
+            ok = field(p, position["showname"]) != ""
+        elif rule == "title":
+            ok = matches_all(field(p, position["title"]), title_pattern)
+        return ok if channel is None else ok & (field(p, position["channelId2"]) == channel)
+
     if channel is not None:
-        df = df.where(at["channelId2"] == channel)
-    return df.select(*[c.alias(name) for name, c in at.items()])
+        lines = lines.where(F.contains("value", F.lit(channel)))
+    df = _split_where(lines, split_fields("value"), [], wanted)
+    return df.select(*[field("p", i).alias(name) for name, i in position.items()])
 
 
 def dense_points(
@@ -126,8 +141,9 @@ def clicks(lines: DataFrame, codes: tuple[str, ...], keep: list[str] | None = No
     """
     keep = keep or []
     pattern = "|".join(c.replace(".", "\\.") for c in codes)
-    df = lines.select(*keep, F.split("value", "\t").alias("p")).where(F.size("p") > 75)
-    df = df.where(field("p", 73).rlike(pattern))
+    df = _split_where(
+        lines, F.split("value", "\t"), keep, lambda p: (F.size(p) > 75) & field(p, 73).rlike(pattern)
+    )
     refer = strip(field("p", 73))
     owner = refer.contains("home_shome")
     df = df.select(
