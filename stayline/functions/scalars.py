@@ -20,7 +20,9 @@ def number(text: Column | str) -> Column:
 
 
 def clamp(x: Column | str, limit: float = LIMIT) -> Column:
-    return F.greatest(F.least(_c(x), F.lit(limit)), F.lit(-limit))
+    """x cut to ±limit; NULL stays NULL (``least`` and ``greatest`` alone would skip it)."""
+    x = _c(x)
+    return F.when(x > limit, F.lit(limit)).when(x < -limit, F.lit(-limit)).otherwise(x)
 
 
 def guarded_ratio(n: Column | str, d: Column | str, guard: float = 0.001) -> Column:
