@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel, classification, clustering, recommendation, regression
+import math
+
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, classification, clustering, recommendation, regression
 from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,19 @@ def as_vectors(df: DataFrame, features: str = "features", nonnegative: bool = Fa
     return df.withColumn(features, array_to_vector(x))
 
 
+def fit(estimator: Estimator, df: DataFrame, rows_per_partition: int = 20_000) -> Model:
+    """Fit on a cached frame whose partitions hold enough rows to be worth a task.
+
+    Trainers run a job per step. A frame that is small after filtering and sampling is narrowed without a
+    shuffle; a large one keeps its partitions.
+    """
+    cached = df.persist()
+    try:
+        return estimator.fit(cached.coalesce(max(1, math.ceil(cached.count() / rows_per_partition))))
+    finally:
+        cached.unpersist()
+
+
 def decision_tree(depth: int = 5, bins: int = 32, **kw) -> classification.DecisionTreeClassifier:
     return classification.DecisionTreeClassifier(impurity="gini", maxDepth=depth, maxBins=bins, seed=1, **kw)
 

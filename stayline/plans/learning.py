@@ -226,9 +226,7 @@ def _customer_points(spark, sf_dir):
 def _train_and_score(spark, sf_dir, estimator, nonnegative=False):
     """60/40 split by guid, fit on the first part, score the second."""
     train, test = sampling.random_split(_customer_points(spark, sf_dir), "guid", [0.6, 0.4], 11)
-    train = models.as_vectors(train, nonnegative=nonnegative).persist()
-    model = estimator.fit(train)
-    train.unpersist()
+    model = models.fit(estimator, models.as_vectors(train, nonnegative=nonnegative))
     return model.transform(models.as_vectors(test, nonnegative=nonnegative)).select("guid", "label", r6("prediction").alias("prediction"))
 
 
@@ -264,9 +262,7 @@ def ml_logreg(spark, sf_dir):
 
 @query("ml_logreg_history")
 def ml_logreg_history(spark, sf_dir):
-    train = models.as_vectors(_customer_points(spark, sf_dir)).persist()
-    model = models.logistic_regression_lbfgs().fit(train)
-    train.unpersist()
+    model = models.fit(models.logistic_regression_lbfgs(), models.as_vectors(_customer_points(spark, sf_dir)))
     return models.objective_history(model).withColumn("loss", r6("loss"))
 
 
@@ -286,9 +282,7 @@ def ml_mlp(spark, sf_dir):
     rows = _customer_points(spark, sf_dir).select("guid", "label", *[F.get("features", F.lit(i)).alias(c) for i, c in enumerate(names)])
     rows = minmax_scale(rows, names).select("guid", "label", F.array(*names).alias("features"))
     train, test = sampling.random_split(rows, "guid", [0.6, 0.4], 11)
-    train = models.as_vectors(train).persist()
-    model = models.multilayer_perceptron([8, 5, 2]).fit(train)
-    train.unpersist()
+    model = models.fit(models.multilayer_perceptron([8, 5, 2]), models.as_vectors(train))
     return model.transform(models.as_vectors(test)).select("guid", "label", "prediction")
 
 
@@ -303,9 +297,8 @@ def ml_isotonic(spark, sf_dir):
 
 @query("ml_kmeans")
 def ml_kmeans(spark, sf_dir):
-    rows = models.as_vectors(views.vectors(spark, sf_dir), "x").withColumnRenamed("x", "features").persist()
-    model = models.kmeans(k=3, steps=20).fit(rows)
-    rows.unpersist()
+    rows = models.as_vectors(views.vectors(spark, sf_dir), "x").withColumnRenamed("x", "features")
+    model = models.fit(models.kmeans(k=3, steps=20), rows)
     return model.transform(rows).select("vec_id", "label", "prediction")
 
 
@@ -317,17 +310,15 @@ def _rated(spark, sf_dir):
 
 @query("ml_als")
 def ml_als(spark, sf_dir):
-    rows = _rated(spark, sf_dir).persist()
-    model = models.als(rank=10, steps=20, reg=0.01).fit(rows)
-    rows.unpersist()
+    rows = _rated(spark, sf_dir)
+    model = models.fit(models.als(rank=10, steps=20, reg=0.01), rows)
     return metrics.mse(model.transform(rows), "rating").select("n", F.round("mse", 2).alias("mse"))
 
 
 @query("ml_als_implicit")
 def ml_als_implicit(spark, sf_dir):
-    rows = _rated(spark, sf_dir).persist()
-    model = models.als_implicit(rank=10, steps=20).fit(rows)
-    rows.unpersist()
+    rows = _rated(spark, sf_dir)
+    model = models.fit(models.als_implicit(rank=10, steps=20), rows)
     return model.transform(rows).select("user", "item", F.round("prediction", 3).alias("prediction"))
 
 
@@ -336,7 +327,7 @@ def text_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     train = docs.join(labels, "doc_id")
-    return models.text_stages().fit(train).transform(docs).select("doc_id", "prediction")
+    return models.fit(models.text_stages(), train).transform(docs).select("doc_id", "prediction")
 
 
 @query("model_roundtrip")
@@ -382,6 +373,14 @@ def nn_train(spark, sf_dir):
     return scored.select("id", r6(F.col("label")[0]).alias("label"), r6(F.col("prediction")[0]).alias("prediction"))
 
 
+@query("nn_backprop")
+def nn_backprop(spark, sf_dir):
+    samples = _samples(spark, sf_dir)
+    model = neural.net_train(samples, neural.backprop_preset(64), batch_rows=samples.count(), epochs=3, stop_loss=0.01)
+    rows = [(h["epoch"], float(h["train"])) for h in model.history]
+    return spark.createDataFrame(rows, "epoch int, loss double").withColumn("loss", r6("loss"))
+
+
 @query("rbm_train")
 def rbm_train(spark, sf_dir):
     samples = _samples(spark, sf_dir)
