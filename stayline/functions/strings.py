@@ -73,6 +73,12 @@ def query_param(query: Column | str, name: str) -> Column:
     return F.when(_c(query).rlike(pattern), F.regexp_extract(_c(query), pattern, 1))
 
 
+def last_query_param(query: Column | str, name: str) -> Column:
+    """Value of the last ``name`` or ``name=…`` piece, as in a map built left to right; NULL when there is none."""
+    pattern = f"(?s)\\A(?:.*&)?{name}(?:=([^&]*))?(?=&|\\z)"
+    return F.when(_c(query).rlike(pattern), F.regexp_extract(_c(query), pattern, 1))
+
+
 def query_pairs(query: Column | str) -> Column:
     """``a=1&b=&c=x=y`` → array of (key, value); the first ``=`` splits, a missing ``=`` gives an empty value."""
     pieces = F.filter(F.split(_c(query), "&"), lambda p: p != "")

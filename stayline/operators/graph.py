@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from stayline.session import cut_lineage, scratch_path
 
 RESET, DAMPING = 0.15, 0.85  # fixed values
+EDGES_PER_BUCKET = 50_000
 
 
 def pagerank(
@@ -28,12 +30,16 @@ def pagerank(
     ``checkpoint_every`` rounds, when the ranks are cut to the shared folder).
 
     Vertices and edges are written once, bucketed by id and by (src, salt), so a round shuffles only shares
-    and their sums per target, never the edges. A source with more than
+    and their sums per target, never the edges. There are as many buckets as shuffle partitions, fewer for a small
+    graph. A source with more than
     ``hot_degree`` edges is spread over several salts and its share copied to each, so no bucket
     holds a hot source whole. Shares are summed per target map-side before they shuffle.
     """
     spark = edges.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges = edges.select("src", "dst").persist()  # read three times below, not in the rounds
+    if buckets is None:
+        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(1, min(most, math.ceil(edges.count() / EDGES_PER_BUCKET)))
 
     def placed(df: DataFrame, label: str, *keys: str) -> DataFrame:
         """Write bucketed by the keys, so that joins on them read without a shuffle."""
@@ -53,18 +59,21 @@ def pagerank(
     hot = nodes.where(F.col("salts") > 1).select(F.col("id").alias("src"), "salts")
     salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("salts")), F.lit(0)).cast("int")
     links = placed(edges.join(hot, "src", "left").select("src", "dst", salt.alias("salt")), "edges", "src", "salt")
+    edges.unpersist()
 
     def step(now: DataFrame) -> DataFrame:
+        # hash joins: the small side has one row per vertex and salt, evenly spread over the buckets, so
+        # neither the edges nor the vertices are sorted in a round
         shares = now.where(F.col("degree") > 0).select(
             F.col("id").alias("src"),
             (F.col("rank") / F.col("degree")).alias("share"),
             F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
         )
         incoming = (
-            links.join(shares, ["src", "salt"]).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("incoming"))
+            links.join(shares.hint("shuffle_hash"), ["src", "salt"]).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("incoming"))
         )
         rank = F.lit(RESET) + DAMPING * F.coalesce("incoming", F.lit(0.0))
-        return nodes.join(incoming, "id", "left").select("id", "degree", "salts", rank.alias("rank"))
+        return nodes.join(incoming.hint("shuffle_hash"), "id", "left").select("id", "degree", "salts", rank.alias("rank"))
 
     state = nodes.withColumn("rank", F.lit(1.0))
     done, limit = 0, max_rounds if rounds is None else rounds

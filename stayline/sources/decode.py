@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.functions.scalars import number
-from stayline.functions.strings import field, last_piece, matches_all, query_pairs, split_fields, strip, url_clean
+from stayline.functions.strings import field, last_piece, last_query_param, matches_all, split_fields, strip, url_clean
 from stayline.functions.strings import HAN_THEN_NUMBER
 from stayline.sources.views import VIEW_LOG_FIELDS
 
@@ -152,19 +152,15 @@ def clicks(lines: DataFrame, codes: tuple[str, ...], keep: list[str] | None = No
         owner.alias("owner"),
         strip(field("p", 1)).alias("guid"),
         strip(field("p", 3)).alias("ouid"),
-        query_pairs(url_clean(strip(field("p", 58)))).alias("params"),
+        url_clean(strip(field("p", 58))).alias("params"),
     )
     pieces = F.split("refer", ",")
 
-    def param(name: str) -> Column:
-        # the last of repeated keys wins, as in a map built left to right
-        return F.try_element_at(F.filter("params", lambda e: e["key"] == name), F.lit(-1))["value"]
-
     return df.select(
         *keep,
-        F.when(F.col("owner"), param("ct")).otherwise(param("cn")).alias("page"),
+        F.when(F.col("owner"), last_query_param("params", "ct")).otherwise(last_query_param("params", "cn")).alias("page"),
         last_piece("refer").alias("pos"),
         F.when(F.col("owner"), F.get(pieces, F.lit(4))).otherwise(F.get(pieces, F.lit(3))).alias("vid"),
-        param("title").alias("title"),
+        last_query_param("params", "title").alias("title"),
         F.when(F.col("owner"), F.col("ouid")).otherwise(F.col("guid")).alias("user"),
     )

@@ -81,6 +81,8 @@ def test_query_strings(lines):
     row = lines("a=1&b=&c=x=y&a=2&d").select(strings.query_pairs("value").alias("p"), strings.query_param("value", "c").alias("c")).first()
     assert [tuple(e) for e in row["p"]] == [("a", "1"), ("b", ""), ("c", "x=y"), ("a", "2"), ("d", "")]
     assert row["c"] == "x=y"
+    last = lines("a=1&b=2&a=3&b&ca=9").select(*[strings.last_query_param("value", k) for k in ("a", "b", "c")]).first()
+    assert tuple(last) == ("3", "", None)
     assert lines("xguid=3").select(strings.query_param("value", "guid")).first()[0] is None
 
 
