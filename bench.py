@@ -1,6 +1,6 @@
 """Headline queries, timed: one warm-up, then the median of the runs. Prints one JSON line.
 
-``BENCH_SF_DIR`` (default sf0.1), ``BENCH_CPUS`` (default 8) and ``BENCH_RUNS`` (default 3) set the run.
+``BENCH_SF_DIR`` (default sf0.1), ``BENCH_CPUS`` (default 8) and ``BENCH_RUNS`` (default 2) set the run.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
     spark = session.build(
         "bench", f"local[{cpus}]",

@@ -11,16 +11,21 @@ Input frames have the columns ``id bigint, label array<double>, features array<d
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.session import scratch_path
 
+# tasks get the functions of this module with their closure, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PARTIALS = "kind string, i int, j int, v double"
 
 
