@@ -6,6 +6,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayline.session import cut_lineage
+
 
 def _count(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
@@ -61,13 +63,14 @@ def half_mse(df: DataFrame, label: str = "label", prediction: str = "prediction"
 def auc(df: DataFrame, label: str = "label", score: str = "score", positive: float = 1, buckets: int = 256) -> DataFrame:
     """Area under ROC by rank sum, ties counted half: one row (auc, n_pos, n_neg).
 
-    Rows are first counted per distinct score. The scores are cut into ranges of about equal size, the
+    Rows are first counted per distinct score, and the counts are written to the shared folder because three passes
+    read them. The scores are cut into ranges of about equal size, the
     running count of negatives is a window inside each range plus the total of the ranges below, so no
     task sorts the whole table. At most ``buckets`` bounds and totals reach the driver. NULL where a
     class is empty.
     """
     y = F.col(label) == positive
-    per_score = (
+    per_score = cut_lineage(
         df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(score).cast("double").alias("s"))
         .agg(_count(y).alias("pos"), _count(~y).alias("neg"))

@@ -122,25 +122,24 @@ def isotonic_fit(df: DataFrame, x: str, y: str, weight: str | None = None) -> Da
     return solver.fit(points).transform(points)
 
 
-def naive_bayes_table(df: DataFrame, label: str, columns: list[str], smoothing: float = 1.0) -> tuple[DataFrame, list]:
-    """Multinomial naive Bayes by two sums per class: (log-prior, log-likelihoods) rows of the model.
+def naive_bayes_table(df: DataFrame, label: str, columns: list[str], smoothing: float = 1.0) -> list[dict]:
+    """Multinomial naive Bayes from one aggregate: log-prior and log-likelihoods per class.
 
-    Only one row per class comes back; ``naive_bayes_score`` turns the rows into column expressions.
+    One row per class comes back; ``naive_bayes_score`` turns the rows into column expressions.
     """
     sums = df.groupBy(F.col(label).alias("label")).agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(F.greatest(F.col(c), F.lit(0.0))).alias(c) for c in columns]
-    )
-    n_all = sums.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).first()
-    total = sum((F.col(c) for c in columns), F.lit(0.0)) + smoothing * len(columns)
-    model = sums.select(
-        "label",
-        (F.log(F.col("n") + smoothing) - F.log(F.lit(n_all["n"] + smoothing * n_all["k"]))).alias("prior"),
-        *[(F.log(F.col(c) + smoothing) - F.log(total)).alias(c) for c in columns],
-    )
-    return model, model.orderBy("label").collect()
+    ).collect()
+    rows = sum(r["n"] for r in sums) + smoothing * len(sums)
+    model = []
+    for r in sorted(sums, key=lambda r: r["label"]):
+        total = sum(r[c] or 0.0 for c in columns) + smoothing * len(columns)
+        weights = {c: math.log((r[c] or 0.0) + smoothing) - math.log(total) for c in columns}
+        model.append({"label": r["label"], "prior": math.log(r["n"] + smoothing) - math.log(rows), **weights})
+    return model
 
 
-def naive_bayes_score(df: DataFrame, rows: list, columns: list[str]) -> DataFrame:
+def naive_bayes_score(df: DataFrame, rows: list[dict], columns: list[str]) -> DataFrame:
     """Add log joint per class (``s{label}``) and the label of the largest as ``prediction``."""
     scores = {}
     for r in rows:

@@ -339,7 +339,7 @@ def net_train(df: DataFrame, cfg: NetConfig, batch_rows: int, epochs: int, valid
     W = [np.array(w, dtype=float) for w in (initial or initial_weights(cfg.size, cfg.seed))]
     V = [np.zeros_like(w) for w in W]
     held = F.pmod(F.xxhash64("id", F.lit(cfg.seed)), F.lit(10_000)) < round(validation * 10_000)
-    train, valid = (df.where(~held), df.where(held)) if validation > 0 else (df, None)
+    train, valid = (df.where(~held), df.where(held).persist()) if validation > 0 else (df, None)
     batches = Batches(train, batch_rows, cfg.seed)
     running = [np.zeros((1, n)) for n in cfg.size[1:-1]]
     rate, history = cfg.rate, []
@@ -362,6 +362,8 @@ def net_train(df: DataFrame, cfg: NetConfig, batch_rows: int, epochs: int, valid
         if stop_loss is not None and report["train"] <= stop_loss:
             break
     batches.done()
+    if valid is not None:
+        valid.unpersist()
     return NetModel(cfg, W, history)
 
 

@@ -181,7 +181,7 @@ def nb_sql(spark, sf_dir):
         field(parts, 0).cast("bigint").alias("guid"), F.when(field(parts, 1) == "a", 0).when(field(parts, 1) == "b", 1).otherwise(2).alias("label"),
         *[field(parts, i).cast("double").alias(c) for c, i in (("f1", 2), ("f5", 6), ("f6", 7))],
     )
-    _, model = models.naive_bayes_table(rows, "label", _NB)
+    model = models.naive_bayes_table(rows, "label", _NB)
     scored = models.naive_bayes_score(rows, model, _NB)
     return scored.select("guid", "label", *[r6(f"s{i}").alias(f"s{i}") for i in range(3)], "prediction")
 

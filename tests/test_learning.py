@@ -81,7 +81,7 @@ def test_isotonic_matches_pool_adjacent(spark):
 
 def test_naive_bayes_forms_agree(spark):
     df = spark.createDataFrame([(i % 2, float(i % 5 + 3 * (i % 2)), float(i % 3)) for i in range(60)], "label int, a double, b double")
-    _, rows = models.naive_bayes_table(df, "label", ["a", "b"])
+    rows = models.naive_bayes_table(df, "label", ["a", "b"])
     mine = models.naive_bayes_score(df, rows, ["a", "b"])
     ml = models.as_vectors(df.select(F.col("label").cast("double").alias("label"), F.array("a", "b").alias("features")))
     theirs = models.naive_bayes().fit(ml).transform(ml)
