@@ -35,11 +35,15 @@ def episode_rows(views: DataFrame, keys: list[str], title: str = "title", patter
 def name_episode_rows(
     views: DataFrame, keys: list[str], title: str = "title", names: str = HAN_RUNS, pattern: str = NUMBERS
 ) -> DataFrame:
-    """Keys, show and v for every name run × number of a title; a show is its run without repeated characters."""
+    """Keys, name and v for every name run × number of a title.
+
+    The patterns stand inside ``explode``: over a column, Spark would infer a size filter and push it down,
+    which runs the pattern a second time.
+    """
     return (
-        views.select(*keys, F.explode(find_all(title, names)).alias("_name"), find_all(title, pattern).alias("_runs"))
-        .select(*keys, distinct_chars("_name").alias("showname"), F.explode("_runs").alias("_run"))
-        .select(*keys, "showname", episode_number("_run").alias("v"))
+        views.select(*keys, title, F.explode(find_all(title, names)).alias("name"))
+        .select(*keys, "name", F.explode(find_all(title, pattern)).alias("_run"))
+        .select(*keys, "name", episode_number("_run").alias("v"))
     )
 
 
@@ -103,8 +107,18 @@ def episode_order_stats(views: DataFrame, keys: list[str] = ["guid", "showname"]
 
 
 def episode_order_stats_by_name(views: DataFrame, key: str = "guid", title: str = "title", names: str = HAN_RUNS) -> DataFrame:
+    """Order statistics per (key, show); a show is a name run of the title without repeated characters.
+
+    Bitmaps are built per raw run first, so characters are compared once per group instead of once per view.
+    """
+    by_run = episode_bitmaps(name_episode_rows(views, [key], title, names), [key, "name"])
     keys = [key, "showname"]
-    return order_stats(episode_bitmaps(name_episode_rows(views, [key], title, names), keys), keys)
+    by_show = (
+        by_run.select(key, distinct_chars("name").alias("showname"), "lo", "hi")
+        .groupBy(*keys)
+        .agg(F.bit_or("lo").alias("lo"), F.bit_or("hi").alias("hi"))
+    )
+    return order_stats(by_show, keys)
 
 
 def continuity_score(n: Column | str, max_2: Column | str, min_2: Column | str) -> Column:
