@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import chat, mixing
+from stayline.llm import chat, mixing, warc
 from stayline.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,27 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
         (F.col("mix_copies") * F.col("mix_size")).alias("taken"),
     )
+
+
+# base32 of a hex digest: five hex digits are four letters
+_BASE32 = (
+    "array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    "1 + ((('0x' || substr(sha, (i // 4 * 5 + 1)::int, 5))::bigint >> (15 - i % 4 * 5)::int) & 31)::int, 1)), '')"
+)
+
+
+@_query(
+    "op6_warc",
+    f"""
+    with payloads as (select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as sha from pages),
+    firsts as (select *, min(page_id) over (partition by sha) as first from payloads)
+    select page_id, octet_length(encode(payload))::bigint as payload_bytes, {_BASE32} as payload_digest,
+        case when page_id = first then 'response' else 'revisit' end as record_type,
+        case when page_id <> first then first end as refers_to
+    from firsts
+    """,
+)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive every page, then read every record back from the archives."""
+    records = warc.read(warc.write(table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
