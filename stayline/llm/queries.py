@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import chat, mixing, warc
+from stayline.llm import chat, minhash, mixing, warc
 from stayline.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,7 +102,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # base32 of a hex digest: five hex digits are four letters
 _BASE32 = (
-    "array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    "array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
     "1 + ((('0x' || substr(sha, (i // 4 * 5 + 1)::int, 5))::bigint >> (15 - i % 4 * 5)::int) & 31)::int, 1)), '')"
 )
 
@@ -122,3 +122,33 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive every page, then read every record back from the archives."""
     records = warc.read(warc.write(table(spark, sf_dir, "pages")))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query(
+    "op3_minhash_dedup",
+    r"""
+    with recursive docs as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') as w from documents
+    ), runs as (
+        select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+            else list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) end as s from docs
+    ), shingles as (
+        select doc_id, unnest(s) as s from runs
+    ), pairs as (
+        select a.doc_id as a, b.doc_id as b, count(*) as n from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all
+    ), links as (
+        select a, b from pairs join runs x on x.doc_id = a join runs y on y.doc_id = b where 100 * n >= 85 * (len(x.s) + len(y.s) - n)
+    ), both_ways as (
+        select a, b from links union all select b, a from links
+    ), reach(a, b) as (
+        select distinct a, a from both_ways union select r.a, e.b from reach r join both_ways e on r.b = e.a
+    ), smallest as (
+        select a, min(b) as component_id from reach group by a
+    )
+    select doc_id, len(s)::bigint as n_shingles, coalesce(component_id, doc_id) as component_id, coalesce(component_id, doc_id) = doc_id as kept
+    from runs left join smallest on a = doc_id
+    """,
+)
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_components(table(spark, sf_dir, "documents"), width=3, percent=85)
