@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import chat, minhash, mixing, warc
+from stayline.llm import chat, chunks, minhash, mixing, warc
 from stayline.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,8 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_components(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@_query("op2_fingerprints")
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.with_edits(table(spark, sf_dir, "documents"))
