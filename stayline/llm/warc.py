@@ -160,11 +160,13 @@ def joined_ranges(offsets: list[int], lengths: list[int], gap: int, most: int) -
             start = i
 
 
-def read(index: DataFrame, payload: bool = False, gap: int = 1 << 16, most: int = 1 << 22) -> DataFrame:
+def read(index: DataFrame, payload: bool = False, gap: int = 1 << 16, most: int = 1 << 22, task_bytes: int = 1 << 25) -> DataFrame:
     """The records of index rows (all, or any selection), with their payload as ``html`` on request.
 
-    Ranges up to ``gap`` bytes apart are read together, up to ``most`` bytes at once.
+    Ranges up to ``gap`` bytes apart are read together, up to ``most`` bytes at once. A task
+    reads about ``task_bytes``; the few bytes of an index row say nothing about the bytes it points to.
     """
+    tasks = -(-(index.agg(F.sum("length")).first()[0] or 0) // task_bytes) or 1
     kinds = pa.schema([*_RECORD, *([("html", pa.string())] if payload else [])])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,5 +197,5 @@ def read(index: DataFrame, payload: bool = False, gap: int = 1 << 16, most: int
         if handle:
             handle.close()
 
-    chosen = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    chosen = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return chosen.mapInArrow(fetch, RECORD + (", html string" if payload else ""))
