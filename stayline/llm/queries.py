@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import chat, chunks, decontaminate, minhash, mixing, warc
+from stayline.llm import chat, chunks, decontaminate, licences, minhash, mixing, warc
 from stayline.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,8 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that overlaps a benchmark item, with the overlap."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op5_licences")
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digest(licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
