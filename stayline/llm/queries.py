@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import chat, chunks, decontaminate, licences, minhash, mixing, warc
+from stayline.llm import chat, chunks, decontaminate, langid, licences, minhash, mixing, warc
 from stayline.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,14 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op5_licences")
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.digest(licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@_query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn from the training folds, predict every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"), F.col("language.rejected").alias("rejected"),
+    )
