@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import chat, chunks, decontaminate, langid, licences, minhash, mixing, warc
+from stayline.llm import chat, chunks, decontaminate, langid, licences, minhash, mixing, toxicity, warc
 from stayline.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +179,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), F.col("language.lang").alias("lang_pred"),
         F.col("language.score").alias("score"), F.col("language.rejected").alias("rejected"),
     )
+
+
+@_query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit the chain on the labelled rows, score every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", "toxicity.*")

@@ -70,6 +70,24 @@ def hashes(text: str | bytes | None, kind: np.ndarray = SPACED) -> np.ndarray:
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def stems(text: bytes, kind: np.ndarray, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words and of the first bytes of longer words: the hash, the number of the word, the size (0: whole)."""
+    raw = np.frombuffer(text, np.uint8)
+    starts, ends = spans(raw, kind)
+    up, down = _table(len(raw))
+    sums = np.empty(len(raw) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(VALUES[raw] * up[: len(raw)], out=sums[1:])
+    found, of, length = [], [], []
+    for size in (0, *sizes):
+        at = np.arange(len(starts)) if not size else np.flatnonzero(ends - starts > size)
+        end = ends[at] if not size else starts[at] + size
+        found.append((sums[end] - sums[starts[at]]) * down[starts[at]] + STEPS[size])
+        of.append(at)
+        length.append(np.full(len(at), size))
+    return mix(np.concatenate(found)), np.concatenate(of), np.concatenate(length)
+
+
 def windows(words: np.ndarray, width: int) -> np.ndarray:
     """The hash of each run of ``width`` words, in order."""
     n = len(words) - width + 1
