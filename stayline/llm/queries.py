@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import chat, chunks, decontaminate, langid, licences, minhash, mixing, toxicity, warc
+from stayline.llm import chat, chunks, decontaminate, html_crf, langid, licences, minhash, mixing, toxicity, warc
 from stayline.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select("doc_id", "toxicity.*")
+
+
+@_query("op1_html_extraction")
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by a model fitted on the labelled pages of the module."""
+    pages = html_crf.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
