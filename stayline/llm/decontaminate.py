@@ -136,11 +136,11 @@ def _searcher(index: Broadcast, least: int, alike: float):
     return F.arrow_udf(search, f"array<struct<{', '.join(f'{f.name}: long' for f in _HIT)}>>").asNondeterministic()
 
 
-def with_hits(docs: DataFrame, benchmark: DataFrame, least: int = 13, alike: float = 0.75, slice_bytes: int = 8 << 20) -> DataFrame:
-    """All columns of ``docs`` and ``contamination``: an array of the items that each text overlaps, with the overlap."""
+def with_hits(docs: DataFrame, benchmark: DataFrame, least: int = 13, alike: float = 0.75, slice_bytes: int = 8 << 20, column: str = "contamination") -> DataFrame:
+    """All columns of ``docs`` and one more: an array of the items that each text overlaps, with the overlap."""
     sc = docs.sparkSession.sparkContext
     found = [_searcher(sc.broadcast(build_index(part)), least, alike)(F.col("text").cast("string")) for part in slices(benchmark, slice_bytes)]
-    return docs.withColumn("contamination", found[0] if len(found) == 1 else F.concat(*found))
+    return docs.withColumn(column, found[0] if len(found) == 1 else F.concat(*found))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

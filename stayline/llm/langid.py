@@ -162,6 +162,6 @@ def _predictor(model: Broadcast):
     return F.arrow_udf(predict, f"struct<{RESULT}>").asNondeterministic()
 
 
-def identify(docs: DataFrame, model: dict | None) -> DataFrame:
-    """All columns of ``docs`` and ``language``: the predicted language, its cosine, and whether it is too far from all."""
-    return docs.withColumn("language", _predictor(docs.sparkSession.sparkContext.broadcast(model))(F.col("text").cast("string")))
+def identify(docs: DataFrame, model: dict | None, column: str = "language") -> DataFrame:
+    """All columns of ``docs`` and one more: the predicted language, its cosine, and whether it is too far from all."""
+    return docs.withColumn(column, _predictor(docs.sparkSession.sparkContext.broadcast(model))(F.col("text").cast("string")))

@@ -198,6 +198,6 @@ def _predictor(model: Broadcast, threshold: float):
     return F.arrow_udf(predict, "struct<" + ", ".join(f"p_{c}: double" for c in CATEGORIES) + ", toxic: boolean>").asNondeterministic()
 
 
-def score(docs: DataFrame, model: dict | None, threshold: float = 0.5) -> DataFrame:
-    """All columns of ``docs`` and ``toxicity``: the probability of each category, and whether the text is toxic."""
-    return docs.withColumn("toxicity", _predictor(docs.sparkSession.sparkContext.broadcast(model), threshold)(F.col("text").cast("string")))
+def score(docs: DataFrame, model: dict | None, threshold: float = 0.5, column: str = "toxicity") -> DataFrame:
+    """All columns of ``docs`` and one more: the probability of each category, and whether the text is toxic."""
+    return docs.withColumn(column, _predictor(docs.sparkSession.sparkContext.broadcast(model), threshold)(F.col("text").cast("string")))
