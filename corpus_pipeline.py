@@ -1,20 +1,63 @@
-"""A corpus pipeline over ``documents``: stages of the llm operators, one after the other."""
+"""A corpus pipeline over ``documents``: language, toxicity, near copies, benchmark leaks, and a mix to target weights.
+
+Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept and lets its decisions take effect. All but the
+last return the columns of ``documents``; the last has one row for each time that the mix emits a document.
+
+Columns of the input that the stages don't know pass through. Texts that are null or have no letter go at the first stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stayline.llm import mixing
+from stayline.llm import decontaminate, langid, minhash, mixing, toxicity
 from stayline.llm.scratch import stage
 from stayline.sources.tables import table
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that are too far from every language learned from the labelled ones."""
+    model = langid.fit(docs.select("doc_id", "text", "lang"))
+    return langid.identify(docs, model, "llm_language").filter("not llm_language.rejected").select(*docs.columns)
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents whose chain ends in toxic."""
+    model = toxicity.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, column="llm_toxicity").filter("not llm_toxicity.toxic").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies (five-word shingles, similarity of 0.8 or more), the one with the smallest id.
+
+    Of rows that repeat that id one stays.
+    """
+    found = minhash.near_components(docs.select("doc_id", "text"), width=5, percent=80)
+    copies = found.filter("not kept").select(F.col("doc_id").alias("llm_copy")).distinct()
+    kept = docs.join(copies, F.col("doc_id") == F.col("llm_copy"), "left_anti")
+    return kept.dropDuplicates(["doc_id"])
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a benchmark item."""
+    found = decontaminate.with_hits(docs, table(spark, sf_dir, "benchmark"), column="llm_hits")
+    return found.filter("size(llm_hits) = 0").select(*docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each time the mix emits a document."""
     return mixing.emit(mixing.mix(docs))
 
 
-STAGES = [("mix_sources", mix_sources)]
+STAGES = [
+    ("language_id", language_id),
+    ("toxicity", toxic),
+    ("near_dedup", near_dedup),
+    ("benchmark_leaks", benchmark_leaks),
+    ("mix_sources", mix_sources),
+]
+# classifiers and near copies are beyond SQL; tests/llm compares the stages with plain versions
 ORACLE_SQL = None
 
 
