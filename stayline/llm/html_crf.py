@@ -146,6 +146,8 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple, float]]:
 def path_features(path: tuple) -> list[str]:
     found = {f"in:{tag}" for tag, _ in path}
     found.update(f"is:{w}" for _, names in path for w in names)
+    named = [names for _, names in path if names]
+    found.update(f"near:{w}" for w in (named[-1] if named else ()))
     own = [tag for tag, _ in path if tag in BLOCKS]
     found.add(f"tag:{own[-1] if own else ''}")
     found.add("site-header" if "in:header" in found and not found & {"in:article", "in:main"} else "no-site-header")
@@ -374,7 +376,9 @@ def labelled_pages(n: int = 900, seed: int = 1) -> list[tuple[str, str]]:
                 c = f"{word()} = {word()}({draw.randint(0, 9)})"
                 add(f"<pre>{c}</pre>", c)
             if draw.random() < 0.12:
-                out.append(around(draw.choice(("advert", "share", "notice")), False))
+                out.append(around(draw.choice(("advert", "share", "notice", "form", "sidebar", "comments")), False))
+        if draw.random() < 0.2:
+            out.append(around(draw.choice(("comments", "comments", "sidebar", "share", "form", "footer")), False))
         return "".join(out), lines
 
     pages = []

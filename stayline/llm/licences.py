@@ -129,7 +129,7 @@ def scan_words(index: dict, hashed: np.ndarray, share: float) -> list[dict]:
         at = first[:, None] + np.arange(size)
         inside = (at >= 0) & (at < len(hashed))
         same = inside & (hashed[np.clip(at, 0, len(hashed) - 1)] == t["words"])
-        score = same @ t["weights"]
+        score = np.where(same.all(axis=1), 1.0, same @ t["weights"])
         good = same.all(axis=1) if t["base"] else (score >= share) & same[:, t["need"]].all(axis=1)
         for i in np.flatnonzero(good).tolist():
             begin = max(0, int(first[i]))

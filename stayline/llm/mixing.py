@@ -10,7 +10,7 @@ taken stay within about one document of the target. The running sum is built in
 
 Nulls: a null text has size 0; the null source is a source of its own, the last one. Documents of size 0 are sampled like
 others and add no words; a source of size 0 has target 0 and emits nothing. Repeated rows are documents of their own.
-Empty tables give no rows. Columns that clash with working names are not touched: working names start with ``mix_``.
+Empty tables give no rows. All other columns are kept; names that start with ``mix_`` are reserved, and such columns are dropped.
 """
 
 from __future__ import annotations
@@ -73,6 +73,7 @@ def mix(
     ``docs`` needs ``doc_id`` and ``source``, and ``text`` unless a size is given; all its columns are kept.
     ``cells`` is the number of hash buckets in which documents of like size are split.
     """
+    docs = docs.drop(*[c for c in docs.columns if c.startswith("mix_")])
     sized = docs.withColumn("mix_size", n_words(F.col("text")) if size is None else size)
     # a quarter of an octave of size, then a bucket of the id: the cells of a source in their order
     bits = F.length(F.bin("mix_size"))
