@@ -3,12 +3,12 @@
 Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept and lets its decisions take effect. All but the
 last return the columns of ``documents``; the last has one row for each time that the mix emits a document.
 
-Columns of the input that the stages don't know pass through. Texts that are null or have no letter go at the first stage.
+Columns of the input that the stages don't know pass through; names that start with ``llm_`` or ``mix_`` are reserved. Texts that are null or have no letter go at the first stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayline.llm import decontaminate, langid, minhash, mixing, toxicity
@@ -31,12 +31,13 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies (five-word shingles, similarity of 0.8 or more), the one with the smallest id.
 
-    Of rows that repeat that id one stays.
+    Of rows that repeat that id the one with the first text stays; rows without an id all stay.
     """
     found = minhash.near_components(docs.select("doc_id", "text"), width=5, percent=80)
     copies = found.filter("not kept").select(F.col("doc_id").alias("llm_copy")).distinct()
     kept = docs.join(copies, F.col("doc_id") == F.col("llm_copy"), "left_anti")
-    return kept.dropDuplicates(["doc_id"])
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    return kept.withColumn("llm_nth", nth).filter("llm_nth = 1 or doc_id is null").select(*docs.columns)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
