@@ -6,7 +6,7 @@ clusters of a sample of its vectors (spherical k-means, ``clusters`` per languag
 language and ``most`` in all; both are parameters). A text gets the language of the centroid with the largest cosine.
 
 Rejection: short texts are farther from every centroid than long ones, so the bound is the smallest cosine that the sample has
-for each doubling of length, at most ``shrink`` times that of twice the length; a text is rejected if its cosine is below
+for each doubling of length below 2**LONG characters, at most ``shrink`` times that of twice the length; a text is rejected if its cosine is below
 ``slack`` times the bound of its length, or if it has no letter.
 
 Nulls: null texts, empty texts and texts without a letter get ``und``, score 0 and are rejected. Rows whose language is
@@ -29,7 +29,7 @@ _MULT = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 _SHIFT = np.uint32(32 - SIZE.bit_length() + 1)
 RESULT = "lang: string, score: double, rejected: boolean"
 _RESULT = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
-LENGTHS = 32
+LENGTHS, LONG = 32, 10
 # letters of the basic plane; characters beyond it count as letters
 LETTER = np.array([chr(i).isalpha() for i in range(1 << 16)])
 
@@ -86,14 +86,10 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def clustered(vectors: np.ndarray, clusters: int, rounds: int = 12) -> np.ndarray:
-    """Unit centroids of spherical k-means; the first is the vector nearest the mean, each next one the vector farthest from all before."""
-    mean = vectors.mean(axis=0)
-    chosen = [int(np.argmax(vectors @ mean))]
-    nearest = vectors @ vectors[chosen[0]]
-    while len(chosen) < min(clusters, len(vectors)):
-        chosen.append(int(np.argmin(nearest)))
-        nearest = np.maximum(nearest, vectors @ vectors[chosen[-1]])
-    centroids = vectors[chosen].copy()
+    """Unit centroids of spherical k-means, started from vectors spread evenly over the order of their cosine to the mean."""
+    typical = np.argsort(vectors @ vectors.mean(axis=0), kind="stable")
+    k = min(clusters, len(vectors))
+    centroids = vectors[typical[[(2 * i + 1) * len(vectors) // (2 * k) for i in range(k)]]].copy()
     for _ in range(rounds):
         own = np.argmax(vectors @ centroids.T, axis=1)
         for c in range(len(centroids)):
@@ -137,12 +133,12 @@ def fit(training: DataFrame, clusters: int = 4, sample: int = 300, most: int = 3
             near[doubling] = min(near.get(doubling, 1.0), cosine)
     if not parts:
         return None
-    # from long to short: a text of half the length may lie farther away, whether or not the sample has seen one
-    floors, last = [0.0] * LENGTHS, 1.0
-    for doubling in range(max(near), -1, -1):
-        last = min(near.get(doubling, 1.0), last if doubling == max(near) else shrink * last)
+    # one bound from LONG on; below it, from long to short, a text of half the length may lie farther away, seen or not
+    floors, last = [0.0] * LENGTHS, min((c for d, c in near.items() if d >= LONG), default=min(near.values()))
+    for doubling in range(LENGTHS - 1, -1, -1):
+        if doubling < LONG:
+            last = min(near.get(doubling, 1.0), shrink * last)
         floors[doubling] = slack * last
-    floors[max(near) :] = [floors[max(near)]] * (LENGTHS - max(near))
     return {"idf": idf, "centroids": np.concatenate(parts), "languages": languages, "floors": floors}
 
 
