@@ -45,5 +45,6 @@ def hash_number(key: Column | str, seed: int | str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
-def hash_bucket(key: Column | str, seed: int | str, buckets: int = 10_000) -> Column:
-    return hash_number(key, seed) % buckets
+def share_limit(share: float) -> int:
+    """The bound below which ``share`` of all 32-bit hash numbers lie."""
+    return round(share * 2**32)

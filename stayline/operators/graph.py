@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import uuid
 
 from pyspark.sql import DataFrame
@@ -11,7 +10,6 @@ from pyspark.sql import functions as F
 from stayline.session import cut_lineage, scratch_path
 
 RESET, DAMPING = 0.15, 0.85  # fixed values
-EDGES_PER_BUCKET = 50_000
 
 
 def pagerank(
@@ -30,22 +28,23 @@ def pagerank(
     ``checkpoint_every`` rounds, when the ranks are cut to the shared folder).
 
     Vertices and edges are written once, bucketed by id and by (src, salt), so a round shuffles only shares
-    and their sums per target, never the edges. There are as many buckets as shuffle partitions, fewer for a small
-    graph. A source with more than
-    ``hot_degree`` edges is spread over several salts and its share copied to each, so no bucket
-    holds a hot source whole. Shares are summed per target map-side before they shuffle.
+    and their sums per target, never the edges. ``buckets`` has no upper bound (by default the session's shuffle
+    partitions). A source with more than ``hot_degree`` edges is spread over several salts and its share copied to each, so no
+    bucket holds a hot source whole. Shares are summed per target map-side before they shuffle. With a tolerance, ranks that
+    haven't settled after ``max_rounds`` are an error. The two tables leave the catalogue before the ranks are returned.
     """
     spark = edges.sparkSession
     edges = edges.select("src", "dst").persist()  # read three times below, not in the rounds
     if buckets is None:
-        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        buckets = max(1, min(most, math.ceil(edges.count() / EDGES_PER_BUCKET)))
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables = []
 
     def placed(df: DataFrame, label: str, *keys: str) -> DataFrame:
         """Write bucketed by the keys, so that joins on them read without a shuffle."""
         name = f"{label}_{uuid.uuid4().hex}"
         writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys)
         writer.option("path", scratch_path(spark, label)).saveAsTable(name)
+        tables.append(name)
         return spark.table(name)
 
     degree = edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
@@ -62,18 +61,16 @@ def pagerank(
     edges.unpersist()
 
     def step(now: DataFrame) -> DataFrame:
-        # hash joins: the small side has one row per vertex and salt, evenly spread over the buckets, so
-        # neither the edges nor the vertices are sorted in a round
         shares = now.where(F.col("degree") > 0).select(
             F.col("id").alias("src"),
             (F.col("rank") / F.col("degree")).alias("share"),
             F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
         )
         incoming = (
-            links.join(shares.hint("shuffle_hash"), ["src", "salt"]).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("incoming"))
+            links.join(shares, ["src", "salt"]).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("incoming"))
         )
         rank = F.lit(RESET) + DAMPING * F.coalesce("incoming", F.lit(0.0))
-        return nodes.join(incoming.hint("shuffle_hash"), "id", "left").select("id", "degree", "salts", rank.alias("rank"))
+        return nodes.join(incoming, "id", "left").select("id", "degree", "salts", rank.alias("rank"))
 
     state = nodes.withColumn("rank", F.lit(1.0))
     done, limit = 0, max_rounds if rounds is None else rounds
@@ -93,7 +90,13 @@ def pagerank(
         moved = state.join(earlier, "id").agg(F.max(F.abs(F.col("rank") - F.col("earlier")))).first()[0]
         if moved is None or moved <= tolerance:
             break
-    return state.select("id", "rank")
+    else:
+        if rounds is None:
+            raise RuntimeError(f"ranks still move by more than {tolerance} after {max_rounds} rounds")
+    ranks = cut_lineage(state.select("id", "rank"))
+    for name in tables:
+        spark.sql(f"drop table {name}")
+    return ranks
 
 
 def top_ranked(vertices: DataFrame, ranks: DataFrame, k: int = 10) -> DataFrame:

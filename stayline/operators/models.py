@@ -19,15 +19,15 @@ def as_vectors(df: DataFrame, features: str = "features", nonnegative: bool = Fa
     return df.withColumn(features, array_to_vector(x))
 
 
-def fit(estimator: Estimator, df: DataFrame, rows_per_partition: int = 20_000) -> Model:
-    """Fit on a cached frame whose partitions hold enough rows to be worth a task.
+def fit(estimator: Estimator, df: DataFrame, key: str, partitions: int = 16) -> Model:
+    """Fit on a cached frame dealt by hash of the row key into ``partitions``, each in key order.
 
-    Trainers run a job per step. A frame that is small after filtering and sampling is narrowed without a
-    shuffle; a large one keeps its partitions.
+    Trainers run a job per step and draw by partition, so the number is a parameter: neither the row count nor the
+    file layout changes the model.
     """
-    cached = df.persist()
+    cached = df.repartition(partitions, key).sortWithinPartitions(key).persist()
     try:
-        return estimator.fit(cached.coalesce(max(1, math.ceil(cached.count() / rows_per_partition))))
+        return estimator.fit(cached)
     finally:
         cached.unpersist()
 

@@ -21,6 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayline.functions.scalars import hash_number, share_limit
 from stayline.session import scratch_path
 
 # tasks get the functions of this module with their closure, so executors need no copy of the package
@@ -100,7 +101,7 @@ class Batches:
     one scan in total instead of one scan per batch.
     """
 
-    def __init__(self, df: DataFrame, batch_rows: int, seed: int, cells_per_batch: int = 4, max_cells: int = 4096):
+    def __init__(self, df: DataFrame, batch_rows: int, seed: int, cells_per_batch: int = 4, folders: int = 1024):
         spark = df.sparkSession
         self.seed = seed
         rows = df.count()
@@ -110,12 +111,13 @@ class Batches:
             self.cells = 1
             self.frame = df.select("id", "label", "features").persist()
             return
-        self.cells = min(max_cells, self.count * cells_per_batch)
-        self.count = min(self.count, self.cells)
+        self.cells = self.count * cells_per_batch
+        # cells share folders, so that their number has no bound; a batch reads its cells' folders and filters by cell
+        self.folders = min(folders, self.cells)
         path = scratch_path(spark, "batches")
         cell = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(self.cells)).cast("int")
-        staged = df.select("id", "label", "features", cell.alias("cell"))
-        staged.repartition("cell").write.partitionBy("cell").parquet(path)
+        staged = df.select("id", "label", "features", cell.alias("cell"), (cell % self.folders).alias("folder"))
+        staged.repartition("folder").sortWithinPartitions("folder", "cell").write.partitionBy("folder").parquet(path)
         schema = staged.schema
         self.frame = spark.read.schema(schema).parquet(path)
 
@@ -124,7 +126,7 @@ class Batches:
             return self.frame
         order = np.argsort(uniforms(np.arange(self.cells), 1, self.seed, epoch)[:, 0])
         mine = [int(c) for c in order[index :: self.count]]
-        return self.frame.where(F.col("cell").isin(mine))
+        return self.frame.where(F.col("folder").isin(sorted({c % self.folders for c in mine}))).where(F.col("cell").isin(mine))
 
     def done(self) -> None:
         if self.cells == 1:
@@ -338,7 +340,7 @@ def net_train(df: DataFrame, cfg: NetConfig, batch_rows: int, epochs: int, valid
     """Mini-batch gradient descent; ``validation`` is the share of rows held out by hash of the id."""
     W = [np.array(w, dtype=float) for w in (initial or initial_weights(cfg.size, cfg.seed))]
     V = [np.zeros_like(w) for w in W]
-    held = F.pmod(F.xxhash64("id", F.lit(cfg.seed)), F.lit(10_000)) < round(validation * 10_000)
+    held = hash_number("id", cfg.seed) < share_limit(validation)
     train, valid = (df.where(~held), df.where(held).persist()) if validation > 0 else (df, None)
     batches = Batches(train, batch_rows, cfg.seed)
     running = [np.zeros((1, n)) for n in cfg.size[1:-1]]

@@ -1,17 +1,17 @@
 """Joins and pairings that hold up when one key owns a large share of the rows.
 
 Inner joins are left to Spark: it broadcasts a side it has measured to be small and splits hot
-partitions at run time. The forms below cover what that does not: full outer joins, list-valued
-cogroups, and Cartesian products.
+partitions at run time. The forms below cover what that does not: full outer joins, cogroups, and
+Cartesian products.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayline.session import cut_lineage
+
 
 def left_join_fill(left: DataFrame, right: DataFrame, on: list[str], fills: dict[str, float]) -> DataFrame:
     """Left outer join; unmatched rows get the default of each filled column."""
@@ -19,67 +19,51 @@ def left_join_fill(left: DataFrame, right: DataFrame, on: list[str], fills: dict
 
 
 def full_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Full outer join as matched + left-only + right-only.
+    """Full outer join as a left join and the right rows without a partner.
 
-    Spark splits a hot key of an inner or anti join but not of a full outer join. The anti joins see
-    the other side as distinct keys, so neither side is ever gathered whole in one task.
+    Spark splits a hot key of a left or anti join but not of a full outer join. The anti join sees the
+    left side as distinct keys, so neither side is ever gathered whole in one task.
     """
-    matched = left.join(right, on)
-    left_only = left.join(right.select(*on).distinct(), on, "left_anti")
     right_only = right.join(left.select(*on).distinct(), on, "left_anti")
-    return matched.unionByName(left_only, allowMissingColumns=True).unionByName(right_only, allowMissingColumns=True)
+    return left.join(right, on, "left").unionByName(right_only, allowMissingColumns=True)
 
 
-def cogroup_lists(
-    left: DataFrame, right: DataFrame, on: str, left_value: str, right_value: str, chunk: int = 10_000
-) -> DataFrame:
-    """Both value bags per key: key, chunk, left and right as arrays of (value, n).
+def cogroup_values(left: DataFrame, right: DataFrame, on: str, left_value: str, right_value: str) -> DataFrame:
+    """Both value bags per key in long form: key, side (left or right), value, n.
 
-    Repeats are counted before the shuffle, and a key with more than ``chunk`` distinct values is spread
-    over several rows by the hash of the value, so no array grows with the data. Keys of ordinary size
-    have the single chunk 0.
+    Repeats are counted before the shuffle. The form is the same for every key, however many values it has, and no bag is gathered.
     """
-    cells = (
-        left.select(F.col(on).alias("key"), F.col(left_value).alias("value"), F.lit("left").alias("side"))
-        .unionByName(right.select(F.col(on).alias("key"), F.col(right_value).alias("value"), F.lit("right").alias("side")))
+    return (
+        left.select(F.col(on).alias("key"), F.lit("left").alias("side"), F.col(left_value).alias("value"))
+        .union(right.select(F.col(on).alias("key"), F.lit("right").alias("side"), F.col(right_value).alias("value")))
         .groupBy("key", "side", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    large = cells.groupBy("key").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > chunk)
-    parts = F.ceil(F.col("_size") / chunk)
-    spread = cells.join(large, "key", "left").withColumn(
-        "chunk", F.coalesce(F.pmod(F.xxhash64("value"), parts), F.lit(0)).cast("int")
-    )
-
-    def bag(side: str) -> Column:
-        return F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("value", "n"))))
-
-    return spread.groupBy("key", "chunk").agg(bag("left").alias("left"), bag("right").alias("right"))
 
 
-def cartesian(left: DataFrame, right: DataFrame, block_rows: int = 200_000) -> DataFrame:
-    """Every left row with every right row, as an equi-join on a grid of blocks.
+def cartesian(left: DataFrame, right: DataFrame, left_rows: int = 4_000, right_rows: int = 2_500) -> DataFrame:
+    """Every left row with every right row, as an equi-join on a grid of cells.
 
-    Each side is cut into blocks of about ``block_rows`` by row hash and copied along the other axis;
-    a cell joins one left block with one right block. Spark broadcasts a side only when it is small,
-    and large inputs run as many independent cells.
+    Rows are numbered, not hashed, so equal rows are spread as well; a cell joins ``left_rows`` with ``right_rows``
+    rows, so its product is bounded however large the inputs are. A left row is copied once per block of right rows and the
+    other way round, which is what a product of two tables costs.
     """
-    def blocks(df: DataFrame) -> int:
-        return max(1, math.ceil(df.count() / block_rows))
-
-    n_left, n_right = blocks(left), blocks(right)
-
-    def place(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return df.withColumns(
-            {
-                own: F.pmod(F.xxhash64(*df.columns), F.lit(n_own).cast("bigint")),
-                other: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_other - 1).cast("bigint"))),
-            }
-        )
-
-    a = place(left, "_i", n_left, "_j", n_right)
-    b = place(right, "_j", n_right, "_i", n_left)
-    return a.join(b, ["_i", "_j"]).drop("_i", "_j")
+    def numbered(df: DataFrame, name: str, size: int) -> tuple[DataFrame, int]:
+        # numbers run within hash partitions of a column-free kind: the scan order of each task
+        placed = df.withColumn("_n", F.monotonically_increasing_id())
+        staged = cut_lineage(placed)
+        top = staged.groupBy(F.shiftright("_n", 33).alias("_p")).agg((F.max("_n").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("_rows"))
+        starts = top.withColumn("_start", F.coalesce(F.sum("_rows").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        total = top.agg(F.sum("_rows")).first()[0] or 0
+        place = F.col("_start") + F.col("_n").bitwiseAND(F.lit((1 << 33) - 1))
+        # one row per task of the scan: small at any size
+        rows = staged.withColumn("_p", F.shiftright("_n", 33)).join(F.broadcast(starts.select("_p", "_start")), "_p")
+        return rows.select(*df.columns, F.floor(place / size).alias(name)), max(1, -(-total // size))
+
+    a, n_left = numbered(left, "_i", left_rows)
+    b, n_right = numbered(right, "_j", right_rows)
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    return a.withColumn("_j", each(n_right)).join(b.withColumn("_i", each(n_left)), ["_i", "_j"]).drop("_i", "_j")
 
 
 def key_by(df: DataFrame, key: Column, name: str = "key") -> DataFrame:

@@ -9,9 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.functions.scalars import hash_bucket, hash_number
-
-BUCKETS = 10_000
+from stayline.functions.scalars import hash_number, share_limit
 
 
 def with_split(df: DataFrame, key: str, weights: list[float], seed: int | str, name: str = "split") -> DataFrame:
@@ -19,11 +17,11 @@ def with_split(df: DataFrame, key: str, weights: list[float], seed: int | str, n
     total, edge, edges = sum(weights), 0.0, []
     for w in weights[:-1]:
         edge += w / total
-        edges.append(round(edge * BUCKETS))
-    bucket = hash_bucket(key, seed, BUCKETS)
+        edges.append(share_limit(edge))
+    drawn = hash_number(key, seed)
     index = F.lit(0)
     for e in edges:
-        index = index + F.when(bucket >= e, 1).otherwise(0)
+        index = index + F.when(drawn >= e, 1).otherwise(0)
     return df.withColumn(name, index.cast("int"))
 
 
@@ -33,16 +31,19 @@ def random_split(df: DataFrame, key: str, weights: list[float], seed: int | str)
 
 
 def sample_fraction(df: DataFrame, key: str, fraction: float, seed: int | str) -> DataFrame:
-    return df.where(hash_bucket(key, seed, BUCKETS) < round(fraction * BUCKETS))
+    return df.where(hash_number(key, seed) < share_limit(fraction))
 
 
 def sample_exact(df: DataFrame, key: str, class_col: str, sizes: dict[str, int], seed: int | str) -> DataFrame:
-    """Exactly ``sizes[c]`` rows of each class c (all of a smaller class): those with the lowest hash.
+    """Exactly ``sizes[c]`` rows of each class c (all of a smaller class, none for 0): those with the lowest hash.
 
     No class is sorted. Two histograms of the 32-bit hash (65,536 cells each, per class) locate the
     cut-off hash, the few rows that share it give the cut-off key, and one filter over the rows does the
     rest. The passes before that filter read only the class and the key.
     """
+    sizes = {c: n for c, n in sizes.items() if n > 0}
+    if not sizes:
+        return df.where(F.lit(False))
     wanted = F.create_map(*[x for c, n in sizes.items() for x in (F.lit(c), F.lit(n).cast("bigint"))])
     want = F.element_at(wanted, F.col(class_col))
     hashed = hash_number(key, seed)
@@ -81,11 +82,11 @@ def rebalance(df: DataFrame, key: str, class_col: str, rates: dict[str, float],
     0.3 keeps 30 %, 1 keeps all, 2 keeps every row twice, 2.5 twice and half of them once more. Classes
     without a rate are kept once. ``copy`` numbers the copies from 1.
     """
-    bucket = hash_bucket(key, seed, BUCKETS)
+    drawn = hash_number(key, seed)
     copies = F.lit(1)
     for c, rate in rates.items():
-        whole, part = int(rate), round((rate - int(rate)) * BUCKETS)
-        copies = F.when(F.col(class_col) == c, F.lit(whole) + F.when(bucket < part, 1).otherwise(0)).otherwise(copies)
+        whole, part = int(rate), share_limit(rate - int(rate))
+        copies = F.when(F.col(class_col) == c, F.lit(whole) + F.when(drawn < part, 1).otherwise(0)).otherwise(copies)
     return (
         df.withColumn("_copies", copies)
         .where(F.col("_copies") > 0)

@@ -180,16 +180,21 @@ def vec_compress(spark, sf_dir):
 
 
 @query("vec_from_pairs", """
-    select user_id, string_agg(cast(k as string), ',' order by k) filter (where k < 90) as indices,
-        round(sum(v) filter (where k < 90), 6) as total, cast(sum(n - 1) as bigint) as duplicates,
-        cast(sum(case when k < 90 then 0 else 1 end) as bigint) as out_of_range
-    from (select user_id, cast(regexp_extract(props, '([0-9]+)', 1) as int) as k, count(*) as n, max(value) as v from events group by 1, 2)
+    with pairs as (
+        select user_id, cast(regexp_extract(props, '([0-9]+)', 1) as int) as k, value from events
+        union all select user_id, 100 + event_id % 3, value from events where event_id % 1000 = 0
+    )
+    select user_id, string_agg(cast(k as string), ',' order by k) filter (where k < 100) as indices,
+        round(sum(v) filter (where k < 100), 6) as total, cast(sum(n - 1) as bigint) as duplicates,
+        cast(sum(case when k < 100 then 0 else 1 end) as bigint) as out_of_range
+    from (select user_id, k, count(*) as n, max(value) as v from pairs group by 1, 2)
     group by user_id""")
 def vec_from_pairs(spark, sf_dir):
-    pairs = table(spark, sf_dir, "events").select(
-        "user_id", F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("index"), "value"
-    )
-    built = vectors.from_pairs(pairs, "user_id", 90)
+    events = table(spark, sf_dir, "events")
+    pairs = events.select("user_id", F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("index"), "value")
+    # some pairs beyond the end of the vector, to be counted
+    beyond = events.where("event_id % 1000 = 0").select("user_id", (100 + F.col("event_id") % 3).cast("int"), "value")
+    built = vectors.from_pairs(pairs.union(beyond), "user_id", 100)
     return built.select(
         "user_id", F.array_join(F.transform("vector.indices", lambda i: i.cast("string")), ",").alias("indices"),
         r6(F.aggregate("vector.values", F.lit(0.0), lambda a, v: a + v)).alias("total"), "duplicates",

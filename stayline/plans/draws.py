@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stayline.functions.scalars import share_limit
 from stayline.functions.strings import field, split_fields
 from stayline.operators import sampling
 from stayline.plans.oracle_views import hash_number, with_views
@@ -19,13 +20,13 @@ def _classes(spark, sf_dir):
 
 
 @query("split_hash", f"""
-    select event_id, case when {hash_number('event_id', 11)} % 10000 >= 6000 then 1 else 0 end as split from events""")
+    select event_id, case when {hash_number('event_id', 11)} >= {share_limit(0.6)} then 1 else 0 end as split from events""")
 def split_hash(spark, sf_dir):
     return sampling.with_split(table(spark, sf_dir, "events").select("event_id"), "event_id", [0.6, 0.4], 11)
 
 
 @query("sample_frac", f"""
-    select event_id, event_type from events where {hash_number('event_id', 123)} % 10000 < 3000""")
+    select event_id, event_type from events where {hash_number('event_id', 123)} < {share_limit(0.3)}""")
 def sample_frac(spark, sf_dir):
     return sampling.sample_fraction(table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id", 0.3, 123)
 
@@ -42,7 +43,7 @@ def sample_exact(spark, sf_dir):
 
 
 @query("rebalance", with_views("v3", f"""
-    select c_custkey as guid, cls, 1 as copy from v3 where cls <> 'a' or {hash_number('c_custkey', 123)} % 10000 < 3000
+    select c_custkey as guid, cls, 1 as copy from v3 where cls <> 'a' or {hash_number('c_custkey', 123)} < {share_limit(0.3)}
     union all select c_custkey, cls, 2 from v3 where cls = 'c'"""))
 def rebalance(spark, sf_dir):
     return sampling.rebalance(_classes(spark, sf_dir), "guid", "cls", {"a": 0.3, "b": 1, "c": 2}, 123)

@@ -35,7 +35,7 @@ def continuity_model(
     train, test = sampling.random_split(frame.select("guid", "cls", "value", "continuity"), "guid", [0.6, 0.4], split_seed)
     balanced = sampling.sample_exact(train, "guid", "cls", sizes or CLASS_SIZES, sample_seed)
     points = models.as_vectors(features.train_points(balanced, "churn").where("n_bad = 0"))
-    model = models.fit(models.decision_tree(depth=5, bins=32), points)
+    model = models.fit(models.decision_tree(depth=5, bins=32), points, "guid")
     scored = model.transform(models.as_vectors(features.train_points(test, "churn").where("n_bad = 0")))
     return metrics.binary_metrics(scored, positive=1)
 
@@ -54,7 +54,7 @@ def classic_model(base_lines: DataFrame, split_seed: int = 11, sample_seed: int
     """
     train, test = sampling.random_split(_with_class(base_lines), "guid", [0.6, 0.4], split_seed)
     balanced = sampling.rebalance(train, "guid", "cls", {"a": 0.3, "b": 1, "c": 2}, sample_seed)
-    model = models.fit(models.random_forest(trees=20, depth=10, bins=20), models.as_vectors(classic_points(balanced)))
+    model = models.fit(models.random_forest(trees=20, depth=10, bins=20), models.as_vectors(classic_points(balanced)), "guid")
     return metrics.binary_metrics(model.transform(models.as_vectors(classic_points(test))), positive=0)
 
 

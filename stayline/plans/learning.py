@@ -160,30 +160,37 @@ def linreg_closed(spark, sf_dir):
 
 # ---- table-form models ----------------------------------------------------------------------------
 
-_NB = ["f1", "f5", "f6"]
+_NB = [f"f{i}" for i in range(1, 9)]
 
 
 def _nb_sql() -> str:
-    parts = ["t as (select c_custkey, case cls when 'a' then 0 when 'b' then 1 else 2 end as label, f1, f5, f6 from v3)",
-             "k as (select label, count(*) as n, sum(f1) as c1, sum(f5) as c5, sum(f6) as c6 from t group by label)",
-             "m as (select label, ln((n + 1.0) / (sum(n) over () + count(*) over ())) as p, ln((c1 + 1) / (c1 + c5 + c6 + 3)) as w1, "
-             "ln((c5 + 1) / (c1 + c5 + c6 + 3)) as w5, ln((c6 + 1) / (c1 + c5 + c6 + 3)) as w6 from k)",
-             "s as (select c_custkey, t.label, " + ", ".join(
-                 f"(select p + w1 * t.f1 + w5 * t.f5 + w6 * t.f6 from m where m.label = {i}) as s{i}" for i in range(3)) + " from t)"]
-    return with_views("v3", f"""with {', '.join(parts)} select c_custkey as guid, label, round(s0, 6) as s0, round(s1, 6) as s1, round(s2, 6) as s2,
+    """Tokens that stand for no number count as 0, values below 0 as 0, f2 is clamped as in the file layout."""
+    clean = ", ".join(f"greatest({c}, 0) as {c}" for c in _NB if c != "f2")
+    sums = ", ".join(f"sum({c}) as c{c[1:]}" for c in _NB)
+    total = " + ".join(f"c{c[1:]}" for c in _NB)
+    weights = ", ".join(f"ln((c{c[1:]} + 1) / ({total} + {len(_NB)})) as w{c[1:]}" for c in _NB)
+    score = " + ".join(f"w{c[1:]} * t.{c}" for c in _NB)
+    parts = [
+        "t as (select c_custkey, case cls when 'a' then 0 when 'b' then 1 else 2 end as label, "
+        f"case when spend_token <> '' then 0 else greatest(least(f2, 1e8), 0) end as f2, {clean} from v3)",
+        f"k as (select label, count(*) as n, {sums} from t group by label)",
+        f"m as (select label, ln((n + 1.0) / (sum(n) over () + count(*) over ())) as p, {weights} from k)",
+        "s as (select c_custkey, t.label, " + ", ".join(f"(select p + {score} from m where m.label = {i}) as s{i}" for i in range(3)) + " from t)",
+    ]
+    return with_views("v3", f"""with {', '.join(parts)} select c_custkey as guid, label, round(s0, 3) as s0, round(s1, 3) as s1, round(s2, 3) as s2,
         case when s0 >= greatest(s1, s2) then 0 when s1 >= greatest(s0, s2) then 1 else 2 end as prediction from s""")
 
 
 @query("nb_sql", _nb_sql())
 def nb_sql(spark, sf_dir):
+    points = _customer_points(spark, sf_dir)
     parts = split_fields("value")
-    rows = views.base_feature_lines(spark, sf_dir).select(
-        field(parts, 0).cast("bigint").alias("guid"), F.when(field(parts, 1) == "a", 0).when(field(parts, 1) == "b", 1).otherwise(2).alias("label"),
-        *[field(parts, i).cast("double").alias(c) for c, i in (("f1", 2), ("f5", 6), ("f6", 7))],
+    cls = views.base_feature_lines(spark, sf_dir).select(
+        field(parts, 0).cast("bigint").alias("guid"), F.when(field(parts, 1) == "a", 0).when(field(parts, 1) == "b", 1).otherwise(2).alias("label")
     )
-    model = models.naive_bayes_table(rows, "label", _NB)
-    scored = models.naive_bayes_score(rows, model, _NB)
-    return scored.select("guid", "label", *[r6(f"s{i}").alias(f"s{i}") for i in range(3)], "prediction")
+    rows = points.select("guid", *[F.greatest(F.get("features", F.lit(i)), F.lit(0.0)).alias(c) for i, c in enumerate(_NB)]).join(cls, "guid")
+    scored = models.naive_bayes_score(rows, models.naive_bayes_table(rows, "label", _NB), _NB)
+    return scored.select("guid", "label", *[F.round(f"s{i}", 3).alias(f"s{i}") for i in range(3)], "prediction")
 
 
 @query("isotonic_minmax", """
@@ -226,7 +233,7 @@ def _customer_points(spark, sf_dir):
 def _train_and_score(spark, sf_dir, estimator, nonnegative=False):
     """60/40 split by guid, fit on the first part, score the second."""
     train, test = sampling.random_split(_customer_points(spark, sf_dir), "guid", [0.6, 0.4], 11)
-    model = models.fit(estimator, models.as_vectors(train, nonnegative=nonnegative))
+    model = models.fit(estimator, models.as_vectors(train, nonnegative=nonnegative), "guid")
     return model.transform(models.as_vectors(test, nonnegative=nonnegative)).select("guid", "label", r6("prediction").alias("prediction"))
 
 
@@ -262,7 +269,7 @@ def ml_logreg(spark, sf_dir):
 
 @query("ml_logreg_history")
 def ml_logreg_history(spark, sf_dir):
-    model = models.fit(models.logistic_regression_lbfgs(), models.as_vectors(_customer_points(spark, sf_dir)))
+    model = models.fit(models.logistic_regression_lbfgs(), models.as_vectors(_customer_points(spark, sf_dir)), "guid")
     return models.objective_history(model).withColumn("loss", r6("loss"))
 
 
@@ -282,7 +289,7 @@ def ml_mlp(spark, sf_dir):
     rows = _customer_points(spark, sf_dir).select("guid", "label", *[F.get("features", F.lit(i)).alias(c) for i, c in enumerate(names)])
     rows = minmax_scale(rows, names).select("guid", "label", F.array(*names).alias("features"))
     train, test = sampling.random_split(rows, "guid", [0.6, 0.4], 11)
-    model = models.fit(models.multilayer_perceptron([8, 5, 2]), models.as_vectors(train))
+    model = models.fit(models.multilayer_perceptron([8, 5, 2]), models.as_vectors(train), "guid")
     return model.transform(models.as_vectors(test)).select("guid", "label", "prediction")
 
 
@@ -298,7 +305,7 @@ def ml_isotonic(spark, sf_dir):
 @query("ml_kmeans")
 def ml_kmeans(spark, sf_dir):
     rows = models.as_vectors(views.vectors(spark, sf_dir), "x").withColumnRenamed("x", "features")
-    model = models.fit(models.kmeans(k=3, steps=20), rows)
+    model = models.fit(models.kmeans(k=3, steps=20), rows, "vec_id")
     return model.transform(rows).select("vec_id", "label", "prediction")
 
 
@@ -311,14 +318,14 @@ def _rated(spark, sf_dir):
 @query("ml_als")
 def ml_als(spark, sf_dir):
     rows = _rated(spark, sf_dir)
-    model = models.fit(models.als(rank=10, steps=20, reg=0.01), rows)
+    model = models.fit(models.als(rank=10, steps=20, reg=0.01), rows, "user")
     return metrics.mse(model.transform(rows), "rating").select("n", F.round("mse", 2).alias("mse"))
 
 
 @query("ml_als_implicit")
 def ml_als_implicit(spark, sf_dir):
     rows = _rated(spark, sf_dir)
-    model = models.fit(models.als_implicit(rank=10, steps=20), rows)
+    model = models.fit(models.als_implicit(rank=10, steps=20), rows, "user")
     return model.transform(rows).select("user", "item", F.round("prediction", 3).alias("prediction"))
 
 
@@ -327,7 +334,7 @@ def text_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     train = docs.join(labels, "doc_id")
-    return models.fit(models.text_stages(), train).transform(docs).select("doc_id", "prediction")
+    return models.fit(models.text_stages(), train, "doc_id").transform(docs).select("doc_id", "prediction")
 
 
 @query("model_roundtrip")

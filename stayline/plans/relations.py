@@ -12,16 +12,14 @@ from stayline.sources.tables import table
 
 
 @query("join_inner_multi", """
-    select a.l_suppkey, a.l_partkey, a.returned, b.accepted from
-        (select l_suppkey, l_partkey, sum(l_quantity) as returned from lineitem where l_returnflag = 'R' group by 1, 2) a
-        join (select l_suppkey, l_partkey, sum(l_quantity) as accepted from lineitem where l_returnflag = 'A' group by 1, 2) b
+    select a.l_suppkey, a.l_partkey, a.quantity, b.orders from
+        (select l_suppkey, l_partkey, sum(l_quantity) as quantity from lineitem group by 1, 2) a
+        join (select l_suppkey, l_partkey, count(distinct l_orderkey) as orders from lineitem group by 1, 2) b
         on a.l_suppkey = b.l_suppkey and a.l_partkey = b.l_partkey""")
 def join_inner_multi(spark, sf_dir):
-    def per_pair(flag, name):
-        lines = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == flag)
-        return lines.groupBy("l_suppkey", "l_partkey").agg(F.sum("l_quantity").alias(name))
-
-    return per_pair("R", "returned").join(per_pair("A", "accepted"), ["l_suppkey", "l_partkey"])
+    pairs = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_partkey")
+    quantity = pairs.agg(F.sum("l_quantity").alias("quantity"))
+    return quantity.join(pairs.agg(F.countDistinct("l_orderkey").alias("orders")), ["l_suppkey", "l_partkey"])
 
 
 @query("join_inner", "select o_orderkey, c_name, c_mktsegment from orders join customer on o_custkey = c_custkey")
@@ -44,37 +42,21 @@ def join_left_fill(spark, sf_dir):
 
 
 @query("join_full", """
-    select coalesce(a.k, b.k) as k, a.purchases, b.failed from
-        (select user_id as k, count(*) as purchases from events where event_type = 'purchase' and value > 100 group by 1) a
-        full join (select o_custkey as k, count(*) as failed from orders where o_orderstatus = 'P' group by 1) b on a.k = b.k""")
+    select coalesce(a.k, b.k) as k, a.n_events, b.n_orders from
+        (select user_id as k, count(*) as n_events from events group by 1) a
+        full join (select o_custkey as k, count(*) as n_orders from orders group by 1) b on a.k = b.k""")
 def join_full(spark, sf_dir):
-    big = (F.col("event_type") == "purchase") & (F.col("value") > 100)
-    purchases = table(spark, sf_dir, "events").where(big).groupBy(F.col("user_id").alias("k")).agg(F.count(F.lit(1)).alias("purchases"))
-    failed = (
-        table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
-        .groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("failed"))
-    )
-    return relational.full_join(purchases, failed, ["k"])
-
-
-_BAG = """(select k, string_agg(concat(v, ':', cast(n as string)), ',' order by v) as bag from
-    (select {k} as k, {v} as v, count(*) as n from {t} group by 1, 2) group by k)"""
+    acts = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("k")).agg(F.count(F.lit(1)).alias("n_events"))
+    bought = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("n_orders"))
+    return relational.full_join(acts, bought, ["k"])
 
 
-@query("join_cogroup", f"""
-    select coalesce(a.k, b.k) as key, 0 as chunk, coalesce(a.bag, '') as left_bag, coalesce(b.bag, '') as right_bag
-    from {_BAG.format(k='user_id', v='event_type', t='events')} a
-    full join {_BAG.format(k='o_custkey', v='o_orderpriority', t='orders')} b on a.k = b.k""")
+@query("join_cogroup", """
+    select user_id as key, 'left' as side, event_type as value, count(*) as n from events group by 1, 3
+    union all select o_custkey, 'right', o_orderpriority, count(*) from orders group by 1, 3""")
 def join_cogroup(spark, sf_dir):
-    groups = relational.cogroup_lists(
-        table(spark, sf_dir, "events"), table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "user_id"),
-        "user_id", "event_type", "o_orderpriority",
-    )
-
-    def text(bag):
-        return F.array_join(F.transform(bag, lambda e: F.concat(e["value"], F.lit(":"), e["n"].cast("string"))), ",")
-
-    return groups.select("key", "chunk", text("left").alias("left_bag"), text("right").alias("right_bag"))
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "user_id")
+    return relational.cogroup_values(table(spark, sf_dir, "events"), orders, "user_id", "event_type", "o_orderpriority")
 
 
 @query("join_cross", "select c_custkey, r_name from customer, region")
@@ -89,19 +71,19 @@ def key_by(spark, sf_dir):
 
 
 @query("sql_join_agg", """
-    select o_orderpriority as locationid, sum(l_quantity) as totalqty, round(sum(l_extendedprice), 2) as totalamount
+    select o_orderpriority as priority, sum(l_quantity) as units, round(sum(l_extendedprice), 2) as revenue
     from orders join lineitem on o_orderkey = l_orderkey group by o_orderpriority""")
 def sql_join_agg(spark, sf_dir):
     return spark.sql(
         """
-        select a.o_orderpriority as locationid, sum(b.qty) as totalqty, round(sum(b.amount), 2) as totalamount
-        from {stock} a join (
-            select l_orderkey, sum(l_quantity) as qty, sum(l_extendedprice) as amount from {detail} group by l_orderkey
-        ) b on a.o_orderkey = b.l_orderkey
-        group by a.o_orderpriority
+        with per_order as (
+            select l_orderkey as o_orderkey, sum(l_quantity) as units, sum(l_extendedprice) as revenue from {lines} group by all
+        )
+        select o_orderpriority as priority, sum(units) as units, round(sum(revenue), 2) as revenue
+        from {orders} join per_order using (o_orderkey) group by all
         """,
-        stock=table(spark, sf_dir, "orders"),
-        detail=table(spark, sf_dir, "lineitem"),
+        orders=table(spark, sf_dir, "orders"),
+        lines=table(spark, sf_dir, "lineitem"),
     )
 
 

@@ -47,7 +47,7 @@ def scan_libsvm(spark, sf_dir):
     vectors.select(files.libsvm_line("label", "x").alias("value")).write.text(path)
     x = vector_to_array("features")
     return (
-        files.read_libsvm(spark, path)
+        files.read_libsvm(spark, path, 64)
         .select("label", F.aggregate(x, F.lit(0.0), lambda a, v: a + v).alias("s"), F.size(F.filter(x, lambda v: v != 0)).alias("k"))
         .groupBy("label")
         .agg(F.count(F.lit(1)).alias("n_vectors"), r6(F.sum("s")).alias("total"), F.sum("k").alias("nnz"))

@@ -63,13 +63,13 @@ def test_ml_models_learn(plane):
 
 
 def test_kmeans_golden(spark):
-    points = [[v + d] * 3 for v in (0.0, 9.0) for d in (0.0, 0.1, 0.2)]
+    points = [[-4.0, 2.0], [-4.5, 2.5], [-3.5, 1.5], [6.0, -1.0], [6.4, -1.2], [5.6, -0.8], [6.0, -1.0]]
     df = models.as_vectors(spark.createDataFrame([(p,) for p in points], "features array<double>"))
     model = models.kmeans(k=2).fit(df)
-    assert np.allclose(sorted(c[0] for c in model.clusterCenters()), [0.1, 9.1])
-    assert model.summary.trainingCost == pytest.approx(0.12)
-    cost = models.assign_nearest(spark.createDataFrame([(p,) for p in points], "x array<double>"), "x", [[0.1] * 3, [9.1] * 3])
-    assert cost.agg(F.sum("distance")).first()[0] == pytest.approx(0.12)
+    assert np.allclose(sorted(c.tolist() for c in model.clusterCenters()), [[-4.0, 2.0], [6.0, -1.0]])
+    assert model.summary.trainingCost == pytest.approx(1.4)
+    cost = models.assign_nearest(spark.createDataFrame([(p,) for p in points], "x array<double>"), "x", [[-4.0, 2.0], [6.0, -1.0]])
+    assert cost.agg(F.sum("distance")).first()[0] == pytest.approx(1.4)
 
 
 def test_isotonic_matches_pool_adjacent(spark):
@@ -91,12 +91,27 @@ def test_naive_bayes_forms_agree(spark):
 
 
 def test_text_stages(spark):
-    train = spark.createDataFrame(
-        [(0, "a b c d e spark", 1.0), (1, "b d", 0.0), (2, "spark f g h", 1.0), (3, "hadoop mapreduce", 0.0)], "id bigint, text string, label double"
-    )
-    test = spark.createDataFrame([(6, "spark hadoop spark"), (5, "l m n")], "id bigint, text string")
+    said = ["please cancel my plan", "refund and cancel today", "love the new season", "great picture and sound", "cancel now", "season finale was great"]
+    train = spark.createDataFrame([(i, t, float("cancel" in t)) for i, t in enumerate(said)], "id bigint, text string, label double")
+    test = spark.createDataFrame([(10, "we want to cancel"), (11, "great sound")], "id bigint, text string")
     got = {r["id"]: r["prediction"] for r in models.text_stages().fit(train).transform(test).collect()}
-    assert got == {6: 1.0, 5: 0.0}
+    assert got == {10: 1.0, 11: 0.0}
+
+
+def test_partitions_not_rows_shape_a_model(spark):
+    """The same rows in another layout give the same forest."""
+    rows = spark.range(3000).selectExpr("id", "cast(id % 7 > 3 as double) as label", "array(cast(id % 11 as double), cast(id % 5 as double)) as features")
+    fits = [models.fit(models.random_forest(trees=3, depth=4), models.as_vectors(rows.repartition(n)), "id").toDebugString.split("\n", 1)[1] for n in (1, 9)]
+    assert fits[0] == fits[1]
+
+
+def test_many_mini_batches(spark):
+    rows = spark.range(400).selectExpr("id", "array(1.0D) as label", "array(cast(id as double)) as features")
+    for folders in (3, 1024):
+        batches = neural.Batches(rows, 10, seed=1, folders=folders)
+        assert batches.count == 40
+        seen = [r["id"] for i in range(batches.count) for r in batches.batch(0, i).select("id").collect()]
+        assert sorted(seen) == list(range(400))
 
 
 def test_als_fits_ratings(spark):

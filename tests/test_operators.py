@@ -15,8 +15,8 @@ from stayline.operators import features, graph, matrix, metrics, relational, sam
 
 @pytest.fixture
 def ab(spark):
-    a = spark.createDataFrame([("123", 4.0), ("456", 9.0), ("789", 9.0)], "k string, x double")
-    b = spark.createDataFrame([("123", 8.0), ("789", 10.0), ("000", 1.0)], "k string, y double")
+    a = spark.createDataFrame([("oak", 3.5), ("elm", 7.0), ("fir", 7.0)], "k string, x double")
+    b = spark.createDataFrame([("oak", 2.5), ("fir", 6.0), ("yew", 0.5)], "k string, y double")
     return a, b
 
 
@@ -34,27 +34,47 @@ def test_full_join_keeps_null_keys_and_repeats(spark, rows):
 
 def test_left_fill(ab, rows):
     a, b = ab
-    assert rows(relational.left_join_fill(a, b, ["k"], {"y": 0.0})) == [("123", 4.0, 8.0), ("456", 9.0, 0.0), ("789", 9.0, 10.0)]
+    assert rows(relational.left_join_fill(a, b, ["k"], {"y": 0.0})) == [("elm", 7.0, 0.0), ("fir", 7.0, 6.0), ("oak", 3.5, 2.5)]
 
 
-def test_cogroup(ab):
+def test_cogroup(ab, rows):
     a, b = ab
-    got = {r["key"]: ([tuple(e) for e in r["left"]], [tuple(e) for e in r["right"]]) for r in relational.cogroup_lists(a, b, "k", "x", "y").collect()}
-    assert got["456"] == ([(9.0, 1)], []) and got["123"] == ([(4.0, 1)], [(8.0, 1)]) and got["000"] == ([], [(1.0, 1)])
+    assert rows(relational.cogroup_values(a, b, "k", "x", "y")) == sorted(
+        [("oak", "left", 3.5, 1), ("elm", "left", 7.0, 1), ("fir", "left", 7.0, 1), ("oak", "right", 2.5, 1), ("fir", "right", 6.0, 1), ("yew", "right", 0.5, 1)], key=repr)
 
 
-def test_cogroup_splits_a_hot_key_and_keeps_every_value(spark):
-    a = spark.range(5000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as k", "id as x")
-    b = spark.range(10).selectExpr("'hot' as k", "id as y")
-    groups = relational.cogroup_lists(a, b, "k", "x", "y", chunk=100)
-    top = groups.agg(F.max(F.size("left")), F.sum(F.size("left")), F.sum(F.size("right"))).first()
-    assert top[0] < 300 and top[1] == 5000 and top[2] == 10
+@pytest.mark.parametrize("n", [50, 50_000])
+def test_cogroup_has_one_shape_at_any_size(spark, n):
+    a = spark.range(n).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as k", "id as x")
+    got = relational.cogroup_values(a.union(a), spark.range(10).selectExpr("'hot' as k", "id as y"), "k", "x", "y")
+    assert got.columns == ["key", "side", "value", "n"] and got.count() == n + 10 and got.agg(F.sum("n")).first()[0] == 2 * n + 10
+
+
+@pytest.mark.parametrize("n", [40_000, 400_000])
+def test_small_shares_keep_rows(spark, n):
+    rows = spark.range(n).selectExpr("id", "if(id % 2 = 0, 'a', 'b') as c")
+    for share in (0.001, 0.00004):
+        got = sampling.sample_fraction(rows, "id", share, 5).count()
+        assert abs(got - n * share) <= 5 * (n * share) ** 0.5 + 1
+    assert abs(sampling.rebalance(rows, "id", "c", {"a": 1.00005, "b": 0.0}, 5).count() - n / 2 * 1.00005) <= 5 * (n / 40_000) ** 0.5 + 1
+    parts = sampling.random_split(rows, "id", [0.99995, 0.00005], 5)
+    assert parts[0].count() + parts[1].count() == n and abs(parts[1].count() - n * 0.00005) <= 5 * (n * 0.00005) ** 0.5 + 1
+
+
+def test_exact_sample_of_size_zero(spark):
+    rows = spark.range(100).selectExpr("id", "if(id % 2 = 0, 'a', 'b') as c")
+    assert {(r["c"], r["count"]) for r in sampling.sample_exact(rows, "id", "c", {"a": 0, "b": 5}, 1).groupBy("c").count().collect()} == {("b", 5)}
+    assert sampling.sample_exact(rows, "id", "c", {"a": 0}, 1).count() == 0
+    assert sampling.sample_exact(rows, "id", "c", {"a": 500, "b": 0}, 1).count() == 50
 
 
 @pytest.mark.parametrize("block", [1000, 7])
 def test_cartesian(spark, rows, block):
     a, b = spark.range(30).withColumnRenamed("id", "x"), spark.range(20).withColumnRenamed("id", "y")
-    assert rows(relational.cartesian(a, b, block)) == sorted(((x, y) for x in range(30) for y in range(20)), key=repr)
+    same = spark.range(40).selectExpr("1 as x")
+    assert relational.cartesian(same, same.withColumnRenamed("x", "y"), block, block).count() == 1600
+    assert relational.cartesian(same.limit(0), b, block, block).count() == 0
+    assert rows(relational.cartesian(a, b, block, block)) == sorted(((x, y) for x in range(30) for y in range(20)), key=repr)
 
 
 def test_cartesian_has_no_cross_join(spark):
