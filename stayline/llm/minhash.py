@@ -9,10 +9,10 @@
 
 Buckets may hold any number of nodes and no pairs of a whole group are ever listed. First each node meets only the smallest
 node of its buckets. After that, pairs inside one component no longer matter: in a bucket whose nodes lie in several
-components, the nodes outside its largest component meet all others, in blocks, and keep their best partners of other
-components. Rounds go on, with more partners each, until no untested candidate joins two components, so that the
-components are those of all candidate pairs. A link that shares no bucket is missed with a probability of about
-(1 - t**rows)**bands at the threshold t: below one in a million for the defaults of ``bands_for``.
+components, the nodes outside its largest component meet all others in blocks, first by sketch, then on full sets, and only
+links come out. So every candidate pair is either inside a component or tested, and the components are those of all
+candidate pairs. A link that shares no bucket is missed with a probability of about (1 - t**rows)**bands at the threshold t:
+below one in a million for the defaults of ``bands_for``.
 
 Nulls: null and empty texts and texts without words have an empty set, take part in no link and are their own component. A
 text with fewer words than a shingle is one shingle. Rows that share a doc_id are one document whose links are pooled; repeated
@@ -153,8 +153,37 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int, block:
     return rows.select("doc_id", "b", "block", "side", "text").mapInArrow(test, "a long, b long")
 
 
-def _open_buckets(multi: DataFrame, labels: DataFrame, nodes: DataFrame, limit: int, percent: int, best: int, block: int = 2048) -> DataFrame:
-    """Candidates between components: ``a, b, more`` (whether a node had more partners than it kept)."""
+def _meet(rows: DataFrame, wide: str, tall: str, columns: list[str]) -> DataFrame:
+    """Deal the rows of open buckets into blocks in which every odd row meets every row, once each.
+
+    ``side`` 1 is a block's share of all rows, side 0 its share of the odd ones, which come after.
+    """
+    one = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    parts = rows.filter("odd").select("key", one(tall).alias("y"), each(wide).alias("x"), F.lit(0).alias("side"), *columns).union(
+        rows.select("key", each(tall).alias("y"), one(wide).alias("x"), F.lit(1).alias("side"), *columns)
+    )
+    return parts.repartition("key", "y", "x").sortWithinPartitions("key", "y", "x", F.desc("side"))
+
+
+def _fitting(rows: list[tuple], percent: int, limit: int):
+    """For the rows of a block (node, component, size, sketch): which of them a given row may be linked to in another component."""
+    node, comp, size = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+    bits = np.array([r[3] for r in rows], np.int64).view(np.uint64)
+
+    def of(n: int, c: int, s: int, k: list[int]) -> np.ndarray:
+        x = bits ^ np.array(k, np.int64).view(np.uint64)
+        apart = np.bitwise_count((x | (x >> np.uint64(1))) & _EVEN).sum(axis=1)
+        return (apart <= limit) & (comp != c) & (node != n) & (100 * np.minimum(size, s) >= percent * np.maximum(size, s))
+
+    return of
+
+
+def open_rows(multi: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, limit: int, block: int = 2048) -> DataFrame:
+    """``key, node`` of the rows that have a candidate of another component in their bucket, by sketch.
+
+    Only the rows outside a bucket's largest component (odd rows) are compared with the others; what comes out are rows, not pairs.
+    """
     placed = multi.join(labels, "node").select("key", "node", "component")
     groups = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     open_ = (
@@ -162,47 +191,92 @@ def _open_buckets(multi: DataFrame, labels: DataFrame, nodes: DataFrame, limit:
         .filter("kinds > 1")
         .select("key", F.col("top.component").alias("largest"), F.ceil(F.col("total") / block).alias("wide"), F.ceil((F.col("total") - F.col("top.n")) / block).alias("tall"))
     )
-    rows = placed.join(open_, "key").join(nodes, "node")
-    few = rows.filter(F.col("component") != F.col("largest"))
-    one = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
-    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    parts = few.select("key", one("tall").alias("y"), each("wide").alias("x"), F.lit(0).alias("side"), "node", "component", "n_shingles", "sketch").union(
-        rows.select("key", each("tall").alias("y"), one("wide").alias("x"), F.lit(1).alias("side"), "node", "component", "n_shingles", "sketch")
-    )
-    parts = parts.repartition("key", "y", "x").sortWithinPartitions("key", "y", "x", "side")
-
-    def meet(few: list, all_: list) -> Iterator[tuple[int, int, bool]]:
-        node, comp, size = (np.array([r[i] for r in all_], np.int64) for i in range(3))
-        bits = np.array([r[3] for r in all_], np.int64).view(np.uint64)
-        for n, c, s, k in few:
-            x = bits ^ np.array(k, np.int64).view(np.uint64)
-            apart = np.bitwise_count((x | (x >> np.uint64(1))) & _EVEN).sum(axis=1)
-            fit = (apart <= limit) & (comp != c) & (100 * np.minimum(size, s) >= percent * np.maximum(size, s))
-            at = np.flatnonzero(fit)
-            more = len(at) > best
-            if more:
-                at = at[np.lexsort((node[at], apart[at]))[:best]]
-            for other in node[at].tolist():
-                yield (max(n, other), min(n, other), more)
+    rows = placed.join(open_, "key").join(nodes.select("node", "n_shingles", "sketch"), "node").withColumn("odd", F.col("component") != F.col("largest"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, few, all_ = None, [], []
+        at, all_, hit, fitting = None, [], None, None
 
-        def out(rows: list) -> pa.RecordBatch:
-            a, b, more = zip(*rows) if rows else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(more, pa.bool_())], names=["a", "b", "more"])
+        def out(rows: list[tuple[int, int, bool]]) -> pa.RecordBatch:
+            key, node, odd = zip(*rows) if rows else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(node, pa.int64()), pa.array(odd, pa.bool_())], names=["key", "node", "odd"])
+
+        def closed() -> list[tuple[int, int, bool]]:
+            return [(at[0], all_[i][0], False) for i in np.flatnonzero(hit).tolist()] if hit is not None else []
 
         for batch in batches:
             rows = []
             for r in zip(*(c.to_pylist() for c in batch.columns)):
                 if r[:3] != at:
-                    rows += meet(few, all_) if few and all_ else ()
-                    at, few, all_ = r[:3], [], []
-                (few if r[3] == 0 else all_).append(r[4:])
+                    rows += closed()
+                    at, all_, hit = r[:3], [], None
+                if r[3]:
+                    all_.append(r[4:])
+                    continue
+                if hit is None:
+                    if not all_:
+                        continue
+                    hit, fitting = np.zeros(len(all_), bool), _fitting(all_, percent, limit)
+                fit = fitting(*r[4:])
+                if fit.any():
+                    hit |= fit
+                    rows.append((at[0], r[4], True))
             yield out(rows)
-        yield out(list(meet(few, all_)) if few and all_ else [])
+        yield out(closed())
+
+    met = _meet(rows, "wide", "tall", ["node", "component", "n_shingles", "sketch"])
+    return met.mapInArrow(search, "key long, node long, odd boolean").groupBy("key", "node").agg(F.max("odd").alias("odd"))
+
+
+def cross_links(rows: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int, limit: int, block: int = 256, stream: int = 1024) -> DataFrame:
+    """Links ``a, b`` between components among open rows, on full sets; one for each row, other component and block is enough.
+
+    A pair that shares several buckets is tested in the first of them only. A block's sets form one inverted list, past which
+    the odd rows stream, so that a task holds ``block`` sets however large a bucket is.
+    """
+    sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).alias("wide"), F.greatest(F.lit(1), F.ceil(F.sum(F.col("odd").cast("long")) / stream)).alias("tall"))
+    full = rows.join(sizes, "key").join(labels, "node").join(nodes, "node").join(texts.withColumnRenamed("doc_id", "node"), "node")
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, all_, sets, lists, done = None, [], [], None, set()
+        for batch in batches:
+            left, right = [], []
+            for r, text in zip(zip(*(c.to_pylist() for c in batch.columns[:-1])), words.texts(batch.column(batch.num_columns - 1))):
+                if r[:3] != at:
+                    at, all_, sets, lists = r[:3], [], [], None
+                own = words.shingles(words.hashes(text), width)
+                if r[3]:
+                    all_.append(r[4:])
+                    sets.append(own)
+                    continue
+                if lists is None:
+                    if not all_:
+                        continue
+                    flat = np.concatenate(sets)
+                    order = np.argsort(flat, kind="stable")
+                    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[order]
+                    lists = flat[order], owner, np.array([len(s) for s in sets]), np.array([m[4] for m in all_], np.int64), _fitting(all_, percent, limit)
+                values, owner, size, keys, fitting = lists
+                node, comp, n, bits, mine = r[4:]
+                shared = keys == np.array(mine, np.int64)
+                first = keys[np.arange(len(keys)), shared.argmax(axis=1)] == at[0]
+                fit = fitting(node, comp, n, bits) & first
+                if not fit.any():
+                    continue
+                low, high = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+                n_hits = high - low
+                places = np.repeat(high - np.cumsum(n_hits), n_hits) + np.arange(n_hits.sum())
+                both = np.bincount(owner[places], minlength=len(size))
+                linked = np.flatnonzero(fit & (100 * both >= percent * (len(own) + size - both)))
+                done = set()
+                for i in linked.tolist():
+                    if all_[i][1] not in done:
+                        done.add(all_[i][1])
+                        left.append(max(node, all_[i][0]))
+                        right.append(min(node, all_[i][0]))
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
-    return parts.mapInArrow(search, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
+    met = _meet(full, "wide", "tall", ["node", "component", "n_shingles", "sketch", "keys", "text"])
+    return met.mapInArrow(test, "a long, b long").distinct()
 
 
 def near_components(docs: DataFrame, width: int = 5, percent: int = 80, bands: int | None = None, rows: int | None = None) -> DataFrame:
@@ -226,6 +300,7 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     centres = in_bucket.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("last")).filter("b < last").drop("last")
     multi = stage(in_bucket.join(centres, "key").select("key", "node", "b"), "minhash-buckets")
     small = nodes.select("node", "n_shingles", "sketch")
+    busy = multi.select(F.col("node").alias("doc_id")).distinct()
     first = (
         multi.filter("node > b").select(F.col("node").alias("a"), "b").distinct()
         .join(small.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa")), "a")
@@ -233,28 +308,14 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         .filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).filter(_apart("sa", "sb", longs) <= limit)
         .select("a", "b").distinct()
     )
-    busy = multi.select(F.col("node").alias("doc_id")).distinct()
     texts = stage(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(busy, "doc_id").dropDuplicates(["doc_id", "text"]), "minhash-texts"
     )
-    tested = stage(first, "minhash-pairs")
-    links = stage(confirm(tested, texts, width, percent), "minhash-links")
+    links = stage(confirm(first, texts, width, percent), "minhash-links")
+    labels = stage(_with_all(components(links), busy), "minhash-labels")
+    rows_left = stage(open_rows(multi, labels, nodes, percent, limit), "minhash-open")
+    links = links.union(stage(cross_links(rows_left, labels, nodes, texts, width, percent, limit), "minhash-links"))
     labels = components(links)
-    best = 4
-    while True:
-        labels = stage(_with_all(labels, busy), "minhash-labels")
-        found = stage(_open_buckets(multi, labels, small, limit, percent, best), "minhash-open")
-        fresh = stage(found.select("a", "b").join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
-        more = found.filter("more").limit(1).count() > 0
-        new = stage(confirm(fresh, texts, width, percent), "minhash-links")
-        tested = tested.union(fresh)
-        grown = new.limit(1).count() > 0
-        if grown:
-            links = links.union(new)
-            labels = components(links)
-        if not more and not grown:
-            break
-        best *= 8
     final = full.select("set_id", "doc_id").distinct().join(sets, "set_id").join(labels, "node", "left")
     # rows of one doc_id pool their links
     per_doc = final.groupBy("doc_id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
