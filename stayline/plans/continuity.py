@@ -19,7 +19,7 @@ _STATS = """stats as (select guid, showname, len(v) as n,
 _SCORES = """scores as (select guid, showname, n, case when n - 2 <= 2 or max_2 - min_2 + 1 <= 0 then 0.0
     else (n - 4.0::double) / (max_2 - min_2 + 1) end as continuity from stats)"""
 _SHOW = f"with {_NUMBERS}, {_GROUPS}, {_STATS}, {_SCORES} "
-_GUID = f"{_SHOW}, by_guid as (select guid, avg(continuity) as continuity, count(*) as shows from scores group by guid) "
+GUID_CONTINUITY = f"{_SHOW}, by_guid as (select guid, avg(continuity) as continuity, count(*) as shows from scores group by guid) "
 
 
 @query("episode_values", with_views("v1", _SHOW + """
@@ -103,12 +103,12 @@ def continuity_by_show(spark, sf_dir):
     return episodes.continuity_by_show(views.view_log(spark, sf_dir)).withColumn("continuity", r6("continuity"))
 
 
-@query("continuity_by_guid", with_views("v1", _GUID + "select guid, round(continuity, 6) as continuity, shows from by_guid"))
+@query("continuity_by_guid", with_views("v1", GUID_CONTINUITY + "select guid, round(continuity, 6) as continuity, shows from by_guid"))
 def continuity_by_guid(spark, sf_dir):
     return episodes.continuity_by_guid(views.view_log(spark, sf_dir)).withColumn("continuity", r6("continuity"))
 
 
-@query("train_frame", with_views("v1 v3", _GUID + """
+@query("train_frame", with_views("v1 v3", GUID_CONTINUITY + """
     select c_custkey as guid, cls, round(coalesce(g.continuity, 0.0), 6) as continuity, 11 as n_fields
     from v3 left join by_guid g on g.guid = c_custkey where coalesce(g.continuity, 0.0) <> 0"""))
 def train_frame(spark, sf_dir):

@@ -21,7 +21,7 @@ def test_matches_sql(spark, con, sf, name):
     assert "types" not in result, result
 
 
-@pytest.mark.parametrize("name", [n for n in NAMES if n not in ORACLES and n not in ("ml_svm", "ml_gbt", "ml_mlp")])
+@pytest.mark.parametrize("name", [n for n in NAMES if n not in ORACLES])
 def test_gives_rows(spark, con, sf, name):
     result, _ = compare(spark, con, name, sf)
     assert result.startswith("rows"), result
