@@ -30,6 +30,14 @@ def build(app: str = "stayline", master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def adopt(spark: SparkSession) -> SparkSession:
+    """Give a caller's session the settings that skew handling, zone-less times and streams rely on."""
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key) and spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables.
 
@@ -54,6 +62,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise to the shared folder and forget the plan; survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write to the shared folder as Parquet and read back: later passes read only the columns they use, and lost executors cost nothing."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

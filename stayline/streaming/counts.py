@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stayline.operators.logs import page_and_user_views, word_count
 from stayline.session import scratch_path
@@ -42,7 +43,22 @@ def run_each_batch(stream: DataFrame, per_batch, path: str, checkpoint: str | No
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(path)
+    schema = per_batch(spark.createDataFrame([], stream.schema)).schema
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])).parquet(path)
+
+
+def closed_windows(clicks: DataFrame, source, path: str, end: DataFrame) -> DataFrame:
+    """All windows of a finite stream, the last ones too.
+
+    ``source`` is a function from a folder to a stream over it. The clicks are put into a folder of their own and run to the end;
+    then ``end``, a row later than every window, arrives as one more file, and a second run with the same state
+    moves the watermark past all windows that are still open. The window of ``end`` itself stays open and is never shown.
+    """
+    folder, state = f"{path}-in", f"{path}-state"
+    clicks.write.parquet(folder)
+    run_append(windowed_page_views(source(folder), "1 day"), path, state)
+    end.write.mode("append").parquet(folder)
+    return run_append(windowed_page_views(source(folder), "1 day"), path, state)
 
 
 def batch_word_counts(lines: DataFrame, column: str = "value", path: str | None = None) -> DataFrame:
