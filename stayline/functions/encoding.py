@@ -44,9 +44,8 @@ ENCODINGS = {
 }
 
 
-def encode_token(token: Column, enc: Encoding) -> Column:
-    """Numeric value of one token; NULL when it is neither a known token nor a number."""
-    value = number(token)
+def encode_token(token: Column, value: Column, enc: Encoding) -> Column:
+    """Numeric value of one token, given what it parses to; NULL when it is neither a known token nor a number."""
     if enc.clamp:
         value = F.when(F.isnan(value), F.lit(0.0)).otherwise(clamp(value))
     if enc.floor_negative:
@@ -64,7 +63,9 @@ def encode(df: DataFrame, preset: str | Encoding, parts: str = "parts", keep: li
     """Add ``label``, ``features`` (array<double>) and ``n_bad`` (unparsable tokens) from a token array."""
     enc = ENCODINGS[preset] if isinstance(preset, str) else preset
     fields = drop_ends(parts, enc.skip_head, enc.skip_tail)
-    values = F.transform(fields, lambda t: encode_token(t, enc))
+    # each token is parsed once; what follows only reads the parsed number
+    parsed = F.transform(fields, lambda t: F.struct(t.alias("token"), number(t).alias("value")))
+    values = F.transform(parsed, lambda t: encode_token(t["token"], t["value"], enc))
     columns = [F.col(c) for c in (keep or [])]
     df = df.select(*columns, values.alias("_v"))
     v = F.col("_v")

@@ -15,7 +15,8 @@ def _c(col: Column | str) -> Column:
 def number(text: Column | str) -> Column:
     """String → double, NULL for anything a JVM parser rejects (Spark also reads ``inf`` and ``nan``)."""
     text = _c(text)
-    odd = F.lower(F.trim(text)).rlike("^[+-]?(inf|nan|infinity)$") & ~F.trim(text).rlike("^[+-]?(NaN|Infinity)$")
+    signed = lambda *names: [s + n for s in ("", "+", "-") for n in names]
+    odd = F.lower(F.trim(text)).isin(signed("inf", "nan", "infinity")) & ~F.trim(text).isin(signed("NaN", "Infinity"))
     return F.when(~odd, text.try_cast("double"))
 
 

@@ -140,9 +140,8 @@ def clicks(lines: DataFrame, codes: tuple[str, ...], keep: list[str] | None = No
     from the fifth piece; the others use field 1, ``cn`` and the fourth.
     """
     keep = keep or []
-    pattern = "|".join(c.replace(".", "\\.") for c in codes)
     df = _split_where(
-        lines, F.split("value", "\t"), keep, lambda p: (F.size(p) > 75) & field(p, 73).rlike(pattern)
+        lines, F.split("value", "\t"), keep, lambda p: (F.size(p) > 75) & F.greatest(*[field(p, 73).contains(c) for c in codes], F.lit(False))
     )
     refer = strip(field("p", 73))
     owner = refer.contains("home_shome")
