@@ -1,7 +1,7 @@
 """Main text of web pages by a linear-chain conditional random field over DOM leaf blocks.
 
 A page is read into leaf blocks: stretches of text between block-level tags, with the open elements around them. Each block has
-features of its ancestors (tags; words of their class, id and role) and of its text (length, link density, punctuation,
+features of its ancestors (tags; words of their class, id and role, and what kind of surroundings such words name) and of its text (length, link density, punctuation,
 place on the page, a few telling words). A two-state chain says which blocks are main text: block scores and transition scores are
 learned together from labelled pages by maximising the likelihood of their label sequences, and decoded by Viterbi.
 
@@ -52,6 +52,24 @@ TELLING = frozenset(
 )
 
 
+# What surrounds an article: tags that may hold it, words for its class or id, and the kind of text in it.
+SURROUNDINGS = {
+    "menu": (("nav", "div", "ul"), "nav navbar navigation menu topnav breadcrumb breadcrumbs toolbar tabs pagination pager sitemap submenu dropdown", "links"),
+    "header": (("header", "div"), "header masthead site-header branding logo topbar banner page-header tagline", "short"),
+    "footer": (("footer", "div"), "footer site-footer colophon copyright legal bottom imprint footer-links", "legal"),
+    "sidebar": (("aside", "div"), "sidebar aside widget related recommended rail popular trending tags recent-posts more-stories side", "mixed"),
+    "advert": (("div", "aside", "ins"), "ad ads advert advertisement sponsored promo adsbox sponsor banner-ad promotion adslot commercial", "prose"),
+    "notice": (("div", "section", "dialog"), "cookie consent gdpr notice alert popup modal overlay newsletter subscribe paywall cookie-banner message warning", "prose"),
+    "comments": (("div", "section", "ol"), "comments comment commentlist replies respond disqus discussion reader-comments comment-body responses feedback", "remarks"),
+    "form": (("form", "div"), "form search login signup search-form contact-form register subscription-form", "form"),
+    "share": (("div", "ul"), "share social sharing follow social-links share-buttons", "links"),
+}
+ARTICLES = "article post entry content story main article-body entry-content post-content story-body text page-content body-text"
+# the words of those names by kind, but for words that articles use as well
+_COMMON = frozenset(p.lower() for p in _PART.findall(ARTICLES)) | frozenset("site page bottom side more message body".split())
+KINDS = {kind: frozenset(p.lower() for p in _PART.findall(names)) - _COMMON for kind, (_, names, _) in SURROUNDINGS.items()}
+
+
 class Block:
     """Text pieces of one leaf block and what stands around it."""
 
@@ -147,7 +165,11 @@ def path_features(path: tuple) -> list[str]:
     found = {f"in:{tag}" for tag, _ in path}
     found.update(f"is:{w}" for _, names in path for w in names)
     named = [names for _, names in path if names]
-    found.update(f"near:{w}" for w in (named[-1] if named else ()))
+    near, all_ = named[-1] if named else frozenset(), frozenset().union(*named)
+    found.update(f"near:{w}" for w in near)
+    # a list of known words lets a rare one count as much as its kind does
+    found.update(f"kind:{kind}" for kind, known in KINDS.items() if all_ & known)
+    found.update(f"near-kind:{kind}" for kind, known in KINDS.items() if near & known)
     own = [tag for tag, _ in path if tag in BLOCKS]
     found.add(f"tag:{own[-1] if own else ''}")
     found.add("site-header" if "in:header" in found and not found & {"in:article", "in:main"} else "no-site-header")
@@ -186,7 +208,7 @@ def _pages_of(labelled: list[tuple[str, str]]) -> list[tuple[list[list[str]], li
     return pages
 
 
-def fit(labelled: list[tuple[str, str]], rounds: int = 200, penalty: float = 3e-4, rate: float = 0.3) -> dict:
+def fit(labelled: list[tuple[str, str]], rounds: int = 250, penalty: float = 3e-5, rate: float = 0.5) -> dict:
     """Weights of a two-state chain: ``features`` (score of main text over the rest), ``moves`` and ``ends`` (first and last state)."""
     pages = _pages_of(labelled)
     number: dict[str, int] = {}
@@ -286,21 +308,6 @@ def extract(pages: DataFrame, model: dict | None = None) -> DataFrame:
     return pages.withColumn("text", _extractor(pages.sparkSession.sparkContext.broadcast(model))(F.col("html").cast("string")))
 
 
-# What surrounds an article: tags that may hold it, words for its class or id, and the kind of text in it.
-SURROUNDINGS = {
-    "menu": (("nav", "div", "ul"), "nav navbar navigation menu topnav breadcrumb breadcrumbs toolbar tabs pagination pager sitemap submenu dropdown", "links"),
-    "header": (("header", "div"), "header masthead site-header branding logo topbar banner page-header tagline", "short"),
-    "footer": (("footer", "div"), "footer site-footer colophon copyright legal bottom imprint footer-links", "legal"),
-    "sidebar": (("aside", "div"), "sidebar aside widget related recommended rail popular trending tags recent-posts more-stories side", "mixed"),
-    "advert": (("div", "aside", "ins"), "ad ads advert advertisement sponsored promo adsbox sponsor banner-ad promotion adslot commercial", "prose"),
-    "notice": (("div", "section", "dialog"), "cookie consent gdpr notice alert popup modal overlay newsletter subscribe paywall cookie-banner message warning", "prose"),
-    "comments": (("div", "section", "ol"), "comments comment commentlist replies respond disqus discussion reader-comments comment-body responses feedback", "remarks"),
-    "form": (("form", "div"), "form search login signup search-form contact-form register subscription-form", "form"),
-    "share": (("div", "ul"), "share social sharing follow social-links share-buttons", "links"),
-}
-ARTICLES = "article post entry content story main article-body entry-content post-content story-body text page-content body-text"
-
-
 def labelled_pages(n: int = 900, seed: int = 1) -> list[tuple[str, str]]:
     """Seeded pages in many layouts, each with its main text."""
     draw = random.Random(seed)
@@ -376,7 +383,8 @@ def labelled_pages(n: int = 900, seed: int = 1) -> list[tuple[str, str]]:
                 c = f"{word()} = {word()}({draw.randint(0, 9)})"
                 add(f"<pre>{c}</pre>", c)
             if draw.random() < 0.12:
-                out.append(around(draw.choice(("advert", "share", "notice", "form", "sidebar", "comments")), False))
+                name = draw.choice(("advert", "share", "notice", "form", "sidebar", "comments"))
+                out.append(around(name, name in ("form", "sidebar") and draw.random() < 0.5))
         if draw.random() < 0.2:
             out.append(around(draw.choice(("comments", "comments", "sidebar", "share", "form", "footer")), False))
         return "".join(out), lines
@@ -399,5 +407,10 @@ def labelled_pages(n: int = 900, seed: int = 1) -> list[tuple[str, str]]:
         page = "".join(map(of, before)) + wrapped + "".join(map(of, after))
         if draw.random() < 0.3:
             page = f'<div class="{draw.choice(("wrapper", "container", "page", "site", "row"))}">{page}</div>'
+        if draw.random() < 0.03:
+            # no markup, or hardly any
+            plain_text = draw.choice((prose(), phrase(4)))
+            pages.append((draw.choice(("{}", "<p>{}", "<body>{}</body>", "<div>{}</div>")).format(plain_text), plain_text))
+            continue
         pages.append((f"<html><head><title>{phrase()}</title></head><body>{page}</body></html>", "\n".join(lines)))
     return pages
