@@ -203,7 +203,8 @@ def _pages_of(labelled: list[tuple[str, str]]) -> list[tuple[list[list[str]], li
         if blocks:
             pages.append((
                 [path_features(p) + text_features(t, k, i, len(blocks)) for i, (t, p, k) in enumerate(blocks)],
-                [int(t in lines) for t, _, _ in blocks],
+                # an unclosed paragraph may run on into what follows it
+                [int(t in lines or any(len(x) > 20 and t.startswith(x) for x in lines)) for t, _, _ in blocks],
             ))
     return pages
 
@@ -361,8 +362,13 @@ def labelled_pages(n: int = 900, seed: int = 1) -> list[tuple[str, str]]:
             add(draw.choice((f"<h1>{title}</h1>", f"<h1>{title}</h1>", f"<h2>{title}</h2>", f"<header><h1>{title}</h1></header>")), title)
         for _ in range(draw.choice((1, 1, 2, 3, 4, 6, 9, 14))):
             k = draw.random()
-            if k < 0.72:
-                p = draw.choice((prose, prose, lambda: sentence(3)))()
+            if draw.random() < 0.08:
+                # telling words occur in articles as well
+                p = " ".join(draw.choice((word(), draw.choice(sorted(TELLING)))) for _ in range(draw.randint(2, 9))).capitalize() + "."
+                p = draw.choice((p, p, "All rights reserved.", f"Copyright {draw.randint(1990, 2024)} {phrase()}."))
+                add(f"<p>{p}</p>", p)
+            elif k < 0.72:
+                p = draw.choice((prose, lambda: prose(14), lambda: sentence(3), lambda: " ".join(word() for _ in range(draw.randint(8, 150)))))()
                 add(draw.choice((f"<p>{p}</p>", f"<p>{p}</p>", f"<p>{p}", f"<p><b>{p}<br>", f"<div><p>{p}</p></div>")), p)
             elif k < 0.8:
                 h = phrase(5)
@@ -402,6 +408,8 @@ def labelled_pages(n: int = 900, seed: int = 1) -> list[tuple[str, str]]:
         bare = draw.random()
         before = [] if bare < 0.1 else draw.sample(("menu", "header", "notice", "advert", "form", "share"), draw.randint(0, 4))
         after = [] if bare < 0.1 else draw.sample(("footer", "sidebar", "comments", "advert", "notice", "form", "share", "menu"), draw.randint(0, 5))
+        if "comments" not in after and bare >= 0.1 and draw.random() < 0.3:
+            after.insert(0, "comments")
         plain = draw.random() < 0.15
         of = lambda name: around(name, plain and name in ("menu", "header", "footer", "sidebar", "form"))
         page = "".join(map(of, before)) + wrapped + "".join(map(of, after))
