@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayline.llm.scratch import stage
+
 UNIT = 1 << 20
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -83,7 +85,8 @@ def mix(
         .withColumn("mix_key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
         .withColumn("mix_cell", (bits.cast("long") * 8 + quarter) * cells + F.pmod(F.col("mix_draw"), F.lit(cells)))
     )
-    per_cell = placed.groupBy("mix_key", "mix_cell").agg(F.count(F.lit(1)).alias("mix_n"), F.sum("mix_size").alias("mix_words"))
+    # read twice below: written once, so that the texts are not counted again
+    per_cell = stage(placed.groupBy("mix_key", "mix_cell").agg(F.count(F.lit(1)).alias("mix_n"), F.sum("mix_size").alias("mix_words")), "mix-cells")
     per_source = targets(per_cell.groupBy("mix_key").agg(F.sum("mix_words").alias("source_size")), weights, share, most).select(
         "mix_key", F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
         F.when(F.col("source_size") > 0, F.round(F.col("target") / F.col("source_size") * UNIT)).otherwise(0).cast("long").alias("mix_rate"),
