@@ -43,7 +43,10 @@ def run_each_batch(stream: DataFrame, per_batch, path: str, checkpoint: str | No
         .start()
     )
     query.awaitTermination()
-    schema = per_batch(spark.createDataFrame([], stream.schema)).schema
+    # a stream without rows has no batch, but it has a schema
+    none = per_batch(spark.createDataFrame([], stream.schema))
+    none.write.mode("overwrite").parquet(f"{path}/batch=-1")
+    schema = none.schema
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])).parquet(path)
 
 

@@ -51,3 +51,20 @@ def test_a_repeated_run_adds_nothing(spark, tmp_path, rows):
         lines = text_stream(spark, str(tmp_path / "in"))
         result = counts.run_each_batch(lines, lambda r: word_count(r), out, state)
     assert rows(result.select("word", "n")) == [("a", 1), ("b", 1)]
+
+
+def test_empty_stream_has_a_schema(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    lines = spark.readStream.text(str(tmp_path / "none"))
+    got = counts.batch_word_counts(lines, "value", str(tmp_path / "out"))
+    assert got.columns == ["word", "n", "batch"] and got.count() == 0
+
+
+def test_queries_do_not_depend_on_the_sessions_zone(spark, sf):
+    from stayline.plans import registry
+
+    registry.load()
+    want = sorted(map(tuple, registry.QUERIES["pv_uv"](spark, sf).collect()))
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/New_York")
+    assert sorted(map(tuple, registry.QUERIES["pv_uv"](other, sf).collect())) == want
