@@ -164,3 +164,27 @@ def test_masks_ignore_positions():
                 other[i] += np.uint64(1)
         assert decontaminate.seeds(h, mask)[0] == decontaminate.seeds(other, mask)[0]
         assert len(decontaminate.positions(mask)) == 6
+
+
+def test_every_single_and_double_substitution_is_found():
+    for n in range(13, 21):
+        item = [f"a{i}" for i in range(n)]
+        index = decontaminate.build_index([(7, " ".join(item))])
+        for gone in [*combinations(range(n), 1), *combinations(range(n), 2)]:
+            text = ["before"] * 20 + ["x" if i in gone else w for i, w in enumerate(item)] + ["after"] * 20
+            got = decontaminate.overlaps(index, " ".join(text).encode(), 13, 0.75)
+            assert [h["item_id"] for h in got] == [7], (n, gone)
+            assert got[0]["overlap_words"] >= 13 and got[0]["matched_words"] >= 0.75 * got[0]["overlap_words"]
+
+
+def test_overlap_is_found_if_any_run_is_one():
+    draw = np.random.default_rng(5)
+    for _ in range(2000):
+        n, share, alike = int(draw.integers(1, 40)), draw.choice((0.3, 0.6, 0.75, 0.9)), float(draw.choice((0.6, 0.7, 0.75, 0.9, 1)))
+        same, least = draw.random(n) < share, int(draw.integers(1, 14))
+        fits = {(i, j) for i in range(n) for j in range(i + least, n + 1) if same[i:j].sum() >= alike * (j - i) - 1e-9}
+        got = decontaminate.overlap(same, least, alike)
+        assert got in fits if fits else got is None
+        # the run with the highest score is the longest of those that tie
+        score = lambda i, j: (3 * same[i:j].sum() - 2 * (j - i), j - i, -i)
+        assert score(*decontaminate.top_run(same)) == max(score(i, j) for i in range(n + 1) for j in range(i, n + 1))
