@@ -10,6 +10,7 @@ many layouts (semantic tags, class names only, bare markup, articles with sideba
 
 Character references are decoded, white space inside a block becomes one space (``br`` counts as white space), blocks are
 trimmed, empty ones go, the rest stand in page order, one to a line. Scripts, styles, comments and the head never become blocks.
+A head ends, with or without its end tag, where text or an element begins that cannot stand in one.
 Malformed pages are read on a best-effort basis: an unfinished tag at the end is dropped, unclosed elements are closed by what follows.
 
 Nulls: a null or empty html has the empty text; a null url is kept. Repeated rows come back repeated; an empty table gives no
@@ -37,6 +38,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style title textarea noscript template iframe noembed noframes xmp svg math object audio video canvas".split())
 # an element that ends when another of these opens (its own list items, cells and rows close one another)
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option", "optgroup"}}
+# what may stand in a head; anything else that opens there, and text, ends it
+HEAD = frozenset("head html base basefont bgsound link meta noframes noscript script style template title".split())
 LISTS = frozenset(("ul", "ol", "dl", "table", "select", "menu"))
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|"
@@ -97,11 +100,23 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple, float]]:
     links, blocks, current, at, end = 0, [], None, 0, len(page)
     none = frozenset()
 
+    in_head = False
+
+    def end_head() -> None:
+        nonlocal links, in_head
+        in_head = False
+        tags = [tag for tag, _ in stack]
+        if "head" in tags:
+            del stack[tags.index("head") :]
+            links = sum(s[0] == "a" for s in stack)
+
     def text(piece: str) -> None:
         nonlocal current
         if current is None:
             if not piece.strip():
                 return
+            if in_head:
+                end_head()
             current = Block(tuple(stack))
             blocks.append(current)
         current.pieces.append(piece)
@@ -119,6 +134,9 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple, float]]:
         opened = m["start"] or m["loose"]
         if opened:
             tag = opened.lower()
+            if in_head and tag not in HEAD:
+                end_head()
+            in_head = in_head or tag == "head"
             if tag in RAW:
                 close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
                 attrs = m["attrs"] if m["start"] else m["rest"]
@@ -156,7 +174,7 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple, float]]:
     for b in blocks:
         raw = "".join(b.pieces)
         whole = " ".join((entities.unescape(raw) if "&" in raw else raw).split())
-        if whole and not any(tag == "head" for tag, _ in b.path):
+        if whole:
             out.append((whole, b.path, min(1.0, b.linked / max(1, len(raw)))))
     return out
 

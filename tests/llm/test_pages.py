@@ -28,6 +28,23 @@ def test_blocks_of_a_page():
     assert html_crf.leaf_blocks('<a title="open <p>x</p>')[0][0] == "x"
 
 
+def test_head_without_its_end_tag(model):
+    """The end tags of head, and the tags of html and body, are optional."""
+    given = "<title>T</title><meta charset=utf-8><link rel=x href=y><script>s</script><style>c</style>"
+    body = "<nav><a href='/'>Home</a></nav><article><h1>Main title</h1><p>First paragraph, with words.<p>Another paragraph, with more words.</article>"
+    whole = f"<html><head>{given}</head><body>{body}</body></html>"
+    texts = ["Home", "Main title", "First paragraph, with words.", "Another paragraph, with more words."]
+    assert [b[0] for b in html_crf.leaf_blocks(whole)] == texts
+    for page in (f"<html><head>{given}<body>{body}</body></html>", f"<html><HEAD>{given}<body>{body}", f"<head>\n{given}\n<head><body>{body}"):
+        assert [(t, p[-2:]) for t, p, _ in html_crf.leaf_blocks(page)] == [(t, p[-2:]) for t, p, _ in html_crf.leaf_blocks(whole)]
+        assert html_crf.main_text(page, model) == html_crf.main_text(whole, model) == "\n".join(texts[1:])
+    for opens in ("", "<div>", "<br>", "<unknown>", "<img src=x>", "<svg></svg>"):
+        page = f"<!doctype html><html><head>{given}<!-- c --> {opens}Plain text<p>More <b>text</b>"
+        blocks = html_crf.leaf_blocks(page)
+        assert [b[0] for b in blocks] == ["Plain text", "More text"] and not any(tag == "head" for _, p, _ in blocks for tag, _ in p)
+    assert html_crf.leaf_blocks(f"<html><head>{given}</html>") == []
+
+
 def test_viterbi_is_the_best_of_all_sequences():
     from itertools import product
 
