@@ -33,11 +33,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of rows that repeat that id the one with the first text stays; rows without an id all stay.
     """
-    found = minhash.near_components(docs.select("doc_id", "text"), width=5, percent=80)
+    # rows without an id would all be dealt to one task
+    named = docs.filter("doc_id is not null")
+    found = minhash.near_components(named.select("doc_id", "text"), width=5, percent=80)
     copies = found.filter("not kept").select(F.col("doc_id").alias("llm_copy")).distinct()
-    kept = docs.join(copies, F.col("doc_id") == F.col("llm_copy"), "left_anti")
+    kept = named.join(copies, F.col("doc_id") == F.col("llm_copy"), "left_anti")
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return kept.withColumn("llm_nth", nth).filter("llm_nth = 1 or doc_id is null").select(*docs.columns)
+    return kept.withColumn("llm_nth", nth).filter("llm_nth = 1").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

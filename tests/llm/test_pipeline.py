@@ -1,5 +1,7 @@
 """The pipeline's stages: columns, decisions, and the mix over what is left."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from stayline.llm import decontaminate, langid, minhash, toxicity
 from stayline.llm.scratch import stage
@@ -44,3 +46,12 @@ def test_repeated_and_missing_ids(spark, sf):
     rows = [(1, "a b c d e f g", "en", "s", 1), (1, "h i j k l m n", "en", "s", 1), (None, "a b c d e f g", "en", None, 1), (None, "x y", None, "s", 1), (2, "a b c d e f g", "en", "s", 1)]
     out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, schema), sf).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in out) == [(0, "a b c d e f g"), (0, "x y"), (1, "a b c d e f g")]
+
+
+def test_rows_without_an_id_stay_spread(spark, sf):
+    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
+    rows = [(i if i % 3 else None, f"text number {i} of many", "en", "s", 1) for i in range(600)]
+    docs = spark.createDataFrame(rows, schema).repartition(8)
+    out = corpus_pipeline.near_dedup(spark, docs, sf).withColumn("part", F.spark_partition_id()).filter("doc_id is null")
+    per_part = [r["count"] for r in out.groupBy("part").count().collect()]
+    assert sum(per_part) == 200 and max(per_part) < 100
