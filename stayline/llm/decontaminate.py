@@ -9,8 +9,11 @@ a mismatch -2) or, where that run is too short or agrees too little, the run tha
 every item of 13 to 20 words with one or two words replaced. An item that no mask hits is not seen: of 13 words with 3 replaced
 13 % of the cases, of 16 with 4 replaced 7 %, of 20 with 5 replaced 2 %.
 
-The index is sent to the tasks in slices of at most ``slice_bytes`` of item text, each a pass of its own, so that what is
-broadcast is bounded however large the benchmark is. Documents are neither shuffled nor gathered.
+The index is sent to the tasks in slices of at most ``slice_bytes`` of item text (or one longer item). A benchmark of one slice
+is one pass, in which documents are neither shuffled nor gathered. With more slices the documents are written once with a row
+number, each slice is a job of its own that writes its hits and then drops its index, and the hits are joined to the rows by
+their number. So the driver holds one slice and one index, beside a partition of the benchmark on its way through, and a
+worker one index.
 
 Words are runs of ASCII letters, digits and characters beyond ASCII, in lower case. Items with fewer words than the shortest
 mask are looked for whole. Nulls: null and empty texts, and items without words, match nothing; item ids may be null. Items
@@ -20,6 +23,8 @@ with equal texts each match; repeated rows come back repeated. An empty table gi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.llm import words
+from stayline.llm.scratch import stage
 
 MASKS = ("110110011", "1011001101", "11100101001", "10101011001")
 _HIT = pa.struct([(n, pa.int64()) for n in ("item_id", "matched_words", "overlap_words", "item_words", "first_word")])
 
+_HITS = f"array<struct<{', '.join(f'{f.name}: long' for f in _HIT)}>>"
+
 
 def positions(mask: str) -> list[int]:
     return [i for i, c in enumerate(mask) if c == "1"]
@@ -164,14 +172,27 @@ def _searcher(index: Broadcast, least: int, alike: float):
     def search(texts: pa.Array) -> pa.Array:
         return pa.array([overlaps(index.value, t, least, alike) for t in words.texts(texts)], pa.list_(_HIT))
 
-    return F.arrow_udf(search, f"array<struct<{', '.join(f'{f.name}: long' for f in _HIT)}>>").asNondeterministic()
+    return F.arrow_udf(search, _HITS).asNondeterministic()
 
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, least: int = 13, alike: float = 0.75, slice_bytes: int = 8 << 20, column: str = "contamination") -> DataFrame:
     """All columns of ``docs`` and one more: an array of the items that each text overlaps, with the overlap."""
-    sc = docs.sparkSession.sparkContext
-    found = [_searcher(sc.broadcast(build_index(part)), least, alike)(F.col("text").cast("string")) for part in slices(benchmark, slice_bytes)]
-    return docs.withColumn(column, found[0] if len(found) == 1 else F.concat(*found))
+    sc, parts = docs.sparkSession.sparkContext, slices(benchmark, slice_bytes)
+    search = lambda sent: _searcher(sent, least, alike)(F.col("text").cast("string"))
+    first, second = next(parts), next(parts, None)
+    if second is None:
+        return docs.withColumn(column, search(sc.broadcast(build_index(first))))
+    held = stage(docs.withColumn("llm_row", F.monotonically_increasing_id()), "decontaminate-rows")
+    tables = []
+    for n, part in enumerate(chain((first, second), parts)):
+        sent = sc.broadcast(build_index(part))
+        found = held.select(F.col("llm_row").alias("llm_of"), F.lit(n).alias("slice"), search(sent).alias("hits")).filter("size(hits) > 0")
+        tables.append(stage(found, "decontaminate-hits"))
+        sent.destroy()
+    # a document's hits in the order of the slices
+    found = reduce(DataFrame.union, tables).groupBy("llm_of").agg(F.array_sort(F.collect_list(F.struct("slice", "hits"))).alias("llm_hits_of"))
+    hits_of = F.coalesce(F.flatten("llm_hits_of.hits"), F.array().cast(_HITS))
+    return held.join(found, F.col("llm_row") == F.col("llm_of"), "left").withColumn(column, hits_of).drop("llm_row", "llm_of", "llm_hits_of")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

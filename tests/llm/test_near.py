@@ -188,3 +188,28 @@ def test_overlap_is_found_if_any_run_is_one():
         # the run with the highest score is the longest of those that tie
         score = lambda i, j: (3 * same[i:j].sum() - 2 * (j - i), j - i, -i)
         assert score(*decontaminate.top_run(same)) == max(score(i, j) for i in range(n + 1) for j in range(i, n + 1))
+
+
+def test_each_slice_is_a_pass_of_its_own(spark, monkeypatch):
+    items = [(i, " ".join(f"s{i}w{k}" for k in range(14))) for i in range(5)]
+    docs = spark.createDataFrame([(1, items[3][1] + " and " + items[0][1]), (1, items[3][1]), (None, items[4][1]), (None, None), (2, "nothing")], "doc_id long, text string")
+    bench, sent = spark.createDataFrame(items, "item_id long, text string"), []
+    kind, real = type(spark.sparkContext), spark.sparkContext.broadcast
+
+    def broadcast(self, value):
+        if not isinstance(value, dict):
+            return real(value)
+        # the index before this one is gone
+        assert not sent or sent[-1].gone
+        made = real(value)
+        destroy = made.destroy
+        made.gone, made.destroy = False, lambda *a: (setattr(made, "gone", True), destroy(*a))
+        sent.append(made)
+        return made
+
+    whole = decontaminate.with_hits(docs, bench).collect()
+    monkeypatch.setattr(kind, "broadcast", broadcast)
+    parts = decontaminate.with_hits(docs, bench, slice_bytes=80)
+    assert parts.columns == ["doc_id", "text", "contamination"]
+    assert sorted(map(str, parts.collect())) == sorted(map(str, whole))
+    assert len(sent) == 5 and all(b.gone for b in sent)
