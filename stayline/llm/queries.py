@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import chat, chunks, decontaminate, html_crf, langid, licences, minhash, mixing, toxicity, warc
+from stayline.llm import chat, chunks, decontaminate, fim, html_crf, langid, licences, minhash, mixing, toxicity, warc
 from stayline.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,3 +194,30 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page, by a model fitted on the labelled pages of the module."""
     pages = html_crf.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@_query(
+    "op12_fill_in_middle",
+    r"""
+    with texts as (
+        select doc_id, coalesce(text, '') as text, sha256('7:' || coalesce(doc_id::varchar, '')) as h from documents
+    ), units as (
+        select doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') as u, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2,
+            ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from texts
+    ), placed as (
+        select *, len(u)::bigint as n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) as a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) as b,
+            case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 100 then 'plain'
+                when h4 % 100 < 50 then 'spm' else 'psm' end as form from units
+    ), cut as (
+        select *, array_to_string(u[1:a], '') as p, array_to_string(u[a + 1:b], '') as m, array_to_string(u[b + 1:n], '') as s from placed
+    )
+    select doc_id, n, form, case when form <> 'plain' then length(p)::bigint end as prefix_chars,
+        case when form <> 'plain' then length(m)::bigint end as middle_chars,
+        sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+            else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256, sha256(text) as restored_sha256
+    from cut
+    """,
+)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fim.digest(fim.transform(docs, seed=7, moved_percent=100, spm_percent=50))
