@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import chat, chunks, decontaminate, fim, html_crf, langid, licences, minhash, mixing, toxicity, warc
+from stayline.llm import chat, chunks, decontaminate, fim, html_crf, langid, licences, minhash, mixing, pii, toxicity, vector_codes, warc
 from stayline.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,3 +221,52 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return fim.digest(fim.transform(docs, seed=7, moved_percent=100, spm_percent=50))
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """Unrolled rounds: ``a`` has each part's nearest entry, ``c`` the entries."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} as materialized (
+                select rid, p.p, min(list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint * 16 + c.e) as best
+                from parts p join c{i} c on p.p = c.p group by rid, p.p)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""s{i} as (select p.p, best % 16 as e, unnest(v) as x, generate_subscripts(v, 1) as k from parts p join a{i} a on p.rid = a.rid and p.p = a.p),
+            m{i} as (select p, e, list(m order by k) as v from (select p, e, k, floor(sum(x) / count(*))::bigint as m from s{i} group by p, e, k) group by p, e),
+            c{i + 1} as materialized (select c.p, c.e, coalesce(m.v, c.v) as v from c{i} c left join m{i} m on c.p = m.p and c.e = m.e)"""
+            )
+    return ", ".join(steps)
+
+
+@_query(
+    "op13_vector_codes",
+    f"""
+    with kept as materialized (
+        select row_number() over (order by vec_id nulls last, embedding) as rid, vec_id, label,
+            list_transform(embedding, lambda x: floor(x::double * 4096)::bigint) as x
+        from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), parts as materialized (
+        select rid, p, x[p * len(x) // 8 + 1:(p + 1) * len(x) // 8] as v from kept, range(8) t(p)
+    ), c0 as materialized (
+        select p, rid - 1 as e, v from parts where rid <= 16
+    ), {_lloyd_sql(6)}, coded as (
+        select rid, string_agg(printf('%02x', best % 16), '' order by p) as code, sum(best // 16)::bigint as error from a6 group by rid
+    ), books as (
+        select sha256(string_agg(x::varchar, ',' order by p, e, k)) as codebooks_sha256 from (select p, e, unnest(v) as x, generate_subscripts(v, 1) as k from c6)
+    )
+    select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256
+    from kept join coded using (rid), books
+    """,
+)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of eight parts with sixteen entries each, after six rounds."""
+    return vector_codes.digest(*vector_codes.compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6))
+
+
+@_query("op11_personal_data")
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain and disguised personal data in every document."""
+    return pii.digest(pii.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
