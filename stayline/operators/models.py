@@ -104,31 +104,6 @@ def text_stages(width: int = 1 << 18, steps: int = 10, reg: float = 0.01) -> Pip
     return Pipeline(stages=[tokenizer, hashing, classification.LogisticRegression(maxIter=steps, regParam=reg)])
 
 
-def _isotonic_points(df: DataFrame, x: str, y: str, weight: str | None) -> DataFrame:
-    """Weighted means per distinct x: the fit is the same, and the solver's input no longer grows with repeated x."""
-    w = F.col(weight) if weight else F.lit(1.0)
-    return (
-        df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-        .groupBy(F.col(x).cast("double").alias("x"))
-        .agg((F.sum(F.col(y) * w) / F.sum(w)).alias("y"), F.sum(w).alias("w"))
-    )
-
-
-def _isotonic_solver(x: str = "x") -> regression.IsotonicRegression:
-    return regression.IsotonicRegression(featuresCol=x, labelCol="y", weightCol="w", predictionCol="fit", isotonic=True)
-
-
-def isotonic_model(df: DataFrame, x: str, y: str, weight: str | None = None) -> Model:
-    """A fitted model; ``transform`` adds ``fit`` for any x of a column ``x``, interpolating between those of the fit."""
-    return _isotonic_solver().fit(_isotonic_points(df, x, y, weight))
-
-
-def isotonic_fit(df: DataFrame, x: str, y: str, weight: str | None = None) -> DataFrame:
-    """x, y, w and fit, one row per distinct x."""
-    points = _isotonic_points(df, x, y, weight)
-    return _isotonic_solver().fit(points).transform(points)
-
-
 def naive_bayes_table(df: DataFrame, label: str, columns: list[str], smoothing: float = 1.0) -> list[dict]:
     """Multinomial naive Bayes from one aggregate: log-prior and log-likelihoods per class.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stayline.functions.encoding import encode_lines
 from stayline.functions.scalars import share_limit
 from stayline.functions.strings import field, split_fields
-from stayline.operators import descent, metrics, models, neural, sampling
+from stayline.operators import descent, isotonic, metrics, models, neural, sampling
 from stayline.operators.features import minmax_scale
 from stayline.plans import jobs
 from stayline.plans.continuity import GUID_CONTINUITY
@@ -204,10 +204,37 @@ def nb_sql(spark, sf_dir):
     f as (select i.x, b.a, min(b.mean) as low from c i join b on b.a <= i.x and b.z >= i.x group by i.x, b.a)
     select p.x, round(p.y, 4) as y, p.w, round(max(f.low), 4) as fit from p join f on p.x = f.x group by p.x, p.y, p.w""")
 def isotonic_minmax(spark, sf_dir):
-    rows = models.isotonic_fit(table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice")
+    rows = isotonic.fit(table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice")
     return rows.select("x", F.round("y", 4).alias("y"), "w", F.round("fit", 4).alias("fit"))
 
 
+# the fit is the slope of the greatest convex minorant of the prefix sums: from each corner the next one is where the slope is least
+_MINORANT = """c as materialized (
+        select row_number() over (order by x) as i, x, y, w, sum(w * y) over (order by x) as sy, sum(w) over (order by x) as sw from p
+    ), g(i, sy, sw, fit) as (
+        select 0::bigint, 0.0::double, 0.0::double, null::double
+        union all
+        select m.i, m.sy, m.sw, m.slope from (
+            select arg_min({'i': c.i, 'sy': c.sy, 'sw': c.sw, 'slope': (c.sy - g.sy) / (c.sw - g.sw)}, (c.sy - g.sy) / (c.sw - g.sw)) as m
+            from g join c on c.i > g.i having count(*) > 0)
+    ), fits as (
+        select c.x, c.y, c.w, g.fit from c asof join (select * from g where i > 0) g on c.i <= g.i
+    )"""
+
+
+@query("isotonic_continuous", f"""
+    with recursive p as (
+        select o_totalprice as x, avg(n) as y, cast(count(*) as double) as w
+        from orders join (select l_orderkey, count(*) as n from lineitem group by 1) on l_orderkey = o_orderkey group by 1
+    ), {_MINORANT} select x, round(y, 6) as y, w, round(fit, 6) as fit from fits""")
+def isotonic_continuous(spark, sf_dir):
+    """Items of an order over its price: nearly every row has an x of its own."""
+    items = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    rows = isotonic.fit(orders.join(items, F.col("o_orderkey") == F.col("l_orderkey")), "o_totalprice", "n", most=500)
+    return rows.select("x", r6("y").alias("y"), "w", r6("fit").alias("fit"))
+
+
 _CENTRES = [[((k * 5 + j * 3) % 7 - 3) / 20 for j in range(64)] for k in range(4)]
 _ASSIGN = "dist as (select vec_id, " + ", ".join(
     f"list_sum(list_transform(range(0, 64), lambda j: pow(x[j + 1] - (({k} * 5 + j * 3) % 7 - 3) / 20.0::double, 2))) as d{k}" for k in range(4)
@@ -343,13 +370,23 @@ def ml_mlp(spark, sf_dir):
     return _graded(model.transform(models.as_vectors(test)), _accurate(0.55))
 
 
-@query("ml_isotonic", f"select count(*) as n, true as good from orders where {hash_number('o_orderkey', 11)} >= {share_limit(0.6)}")
+_ISOTONIC_SIDE = f"{hash_number('o_orderkey', 11)} {{}} {share_limit(0.6)}"
+
+
+@query("ml_isotonic", f"""
+    with recursive o as (select *, cast(floor(o_custkey / 10) as double) as x from orders), p as (
+        select x, avg(o_totalprice) as y, cast(count(*) as double) as w from o where {_ISOTONIC_SIDE.format('<')} group by 1
+    ), {_MINORANT}, t as (
+        select o_orderkey, o_totalprice as y, o.x, l.x as x0, l.fit as f0 from o asof left join fits l on o.x >= l.x where {_ISOTONIC_SIDE.format('>=')}
+    ), u as (
+        select t.*, r.x as x1, r.fit as f1 from t asof left join fits r on t.x <= r.x
+    ) select o_orderkey, y, round(case when x0 is null then f1 when x1 is null or x1 = x0 then f0 else f0 + (f1 - f0) * (x - x0) / (x1 - x0) end, 4) as fit from u""")
 def ml_isotonic(spark, sf_dir):
-    """Every test row is scored, also those whose x the training rows lack."""
+    """Every test row is scored, also those whose x the training rows lack: linear between its neighbours."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("y"), F.floor(F.col("o_custkey") / 10).cast("double").alias("x"))
     train, test = sampling.random_split(orders, "o_orderkey", [0.6, 0.4], 11)
-    scored = models.isotonic_model(train, "x", "y").transform(test)
-    return scored.agg(F.count("fit").alias("n"), (F.avg(metrics.squared_error("y", "fit")) <= 1.1 * F.var_pop("y")).alias("good"))
+    scored = isotonic.predict(isotonic.fit(train, "x", "y"), test, "x")
+    return scored.select("o_orderkey", "y", F.round("fit", 4).alias("fit"))
 
 
 @query("ml_kmeans", "select count(*) as n, 3 as clusters, true as good from embeddings")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stayline.operators import descent, models, neural
+from stayline.operators import descent, isotonic, models, neural
 from stayline.plans import jobs
 from stayline.session import scratch_path
 from stayline.sources import views
@@ -75,7 +75,7 @@ def test_kmeans_golden(spark):
 def test_isotonic_matches_pool_adjacent(spark):
     ys = [1.0, 3.0, 2.0, 2.0, 5.0, 4.0]
     df = spark.createDataFrame([(float(i), y) for i, y in enumerate(ys)], "x double, y double")
-    got = [r["fit"] for r in models.isotonic_fit(df, "x", "y").orderBy("x").collect()]
+    got = [r["fit"] for r in isotonic.fit(df, "x", "y").orderBy("x").collect()]
     assert got == pytest.approx([1.0, 7 / 3, 7 / 3, 7 / 3, 4.5, 4.5])
 
 
