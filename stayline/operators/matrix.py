@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions.vectors import constant, dot
+from stayline.operators import partials
 
 
 def coo_build(entries: DataFrame) -> DataFrame:
@@ -60,11 +61,28 @@ def linear_score(df: DataFrame, x: str, weights: list[list[float]], keep: list[s
 
 
 def vector_sum(df: DataFrame, x: str) -> DataFrame:
-    """Per position: total and count over all rows, combined map-side (position, total, n)."""
-    return (
-        df.select(F.posexplode(x).alias("position", "v"))
-        .groupBy("position")
-        .agg(F.sum("v").alias("total"), F.count("v").alias("n"))
+    """Per position: total and count over all rows (position, total, n).
+
+    Each task adds its vectors to one partial; partials meet in levels. Vectors may differ in length; nulls don't count.
+    """
+
+    def work(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        lists = batch.column(0)
+        sizes = lists.value_lengths().fill_null(0).to_numpy()
+        values = lists.flatten().to_numpy(zero_copy_only=False).astype(float)
+        position = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        there = ~lists.flatten().is_null().to_numpy(zero_copy_only=False)
+        width = int(sizes.max(initial=0))
+        weights = np.where(there, values, 0.0)
+        return {"total": np.bincount(position, weights, width), "n": np.bincount(position, there, width)}
+
+    def cell(kind: str) -> Column:
+        return F.max(F.when(F.col("kind") == kind, F.col("values")))
+
+    sums = partials.add_up(partials.partial_rows(df.select(F.col(x).cast("array<double>")), work), ["kind", "row"])
+    both = sums.groupBy("row").agg(cell("total").alias("total"), cell("n").alias("n"))
+    return both.select(F.posexplode(F.arrays_zip("total", "n")).alias("position", "cell")).where("cell.n > 0").select(
+        "position", "cell.total", F.col("cell.n").cast("long").alias("n")
     )
 
 

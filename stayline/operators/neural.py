@@ -1,7 +1,7 @@
 """Data-parallel feed-forward networks, restricted Boltzmann machines and deep belief nets.
 
 Rows stay on the executors. A mini-batch is one Spark job: every task runs the forward and backward pass of
-its Arrow batches in numpy and emits one partial sum per weight, Spark adds the partials, and only
+its Arrow batches in numpy and emits one partial row per row of weights, Spark adds the partials in levels, and only
 weight-sized totals return. Random draws are a hash of (seed, epoch, row id, position), so a result does
 not depend on partitioning and repeats when a task is retried.
 
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.functions.scalars import hash_number, share_limit
+from stayline.operators.partials import summed
 from stayline.session import scratch_path
 
 # tasks get the functions of this module with their closure, so executors need no copy of the package
@@ -56,42 +57,14 @@ def _matrix(column: pa.Array, rows: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(rows, -1)
 
 
-def _summed(df: DataFrame, work: Callable[[np.ndarray, np.ndarray, np.ndarray], dict[str, np.ndarray]], names: list[str]) -> dict[str, np.ndarray]:
+def _summed(df: DataFrame, work: Callable[[np.ndarray, np.ndarray, np.ndarray], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
     """Add up the matrices that ``work(ids, labels, features)`` gives for each Arrow batch."""
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, np.ndarray] = {}
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for name, m in work(ids, _matrix(batch.column(1), n), _matrix(batch.column(2), n)).items():
-                totals[name] = totals[name] + m if name in totals else m
-        for name, m in totals.items():
-            m = np.atleast_2d(m)
-            i, j = np.indices(m.shape)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([name] * m.size),
-                    pa.array(i.ravel().astype(np.int32)),
-                    pa.array(j.ravel().astype(np.int32)),
-                    pa.array(m.ravel().astype(float)),
-                ],
-                ["kind", "i", "j", "v"],
-            )
-
-    rows = (
-        df.select("id", "label", "features").mapInArrow(partial, PARTIALS)
-        .groupBy("kind", "i", "j").agg(F.sum("v").alias("v"))
-        .toPandas()  # one row per weight
-    )
-    out = {}
-    for name, part in rows.groupby("kind"):
-        m = np.zeros((part["i"].max() + 1, part["j"].max() + 1))
-        m[part["i"], part["j"]] = part["v"]
-        out[name] = m
-    return out
+    def of(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        n = batch.num_rows
+        return work(batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1), n), _matrix(batch.column(2), n))
+
+    return summed(df.select("id", "label", "features"), of)
 
 
 class Batches:
@@ -139,8 +112,8 @@ class Batches:
 @dataclass(frozen=True)
 class NetConfig:
     size: tuple[int, ...]  # layer widths, input first
-    hidden: str = "tanh_opt"  # sigm | tanh_opt
-    output: str = "sigm"  # sigm | linear
+    hidden: str = "scaled_tanh"  # sigmoid | scaled_tanh
+    output: str = "sigmoid"  # sigmoid | linear
     rate: float = 2.0
     momentum: float = 0.5
     rate_decay: float = 1.0
@@ -157,7 +130,7 @@ class NetConfig:
 def backprop_preset(features: int, outputs: int = 1, rate: float = 0.1, seed: int = 1) -> NetConfig:
     """One hidden layer of ⌊√(features + 1)⌋ + 1 units, full batch, no momentum."""
     hidden = math.isqrt(features + 1) + 1
-    return NetConfig((features, hidden, outputs), hidden="sigm", output="sigm", rate=rate, momentum=0.0, seed=seed)
+    return NetConfig((features, hidden, outputs), hidden="sigmoid", output="sigmoid", rate=rate, momentum=0.0, seed=seed)
 
 
 def _sigm(z: np.ndarray) -> np.ndarray:
@@ -187,9 +160,9 @@ def forward(x: np.ndarray, W: list[np.ndarray], cfg: NetConfig, ids: np.ndarray
     for i, w in enumerate(W):
         z = acts[-1] @ w.T
         if i == len(W) - 1:
-            acts.append(_sigm(z) if cfg.output == "sigm" else z)
+            acts.append(_sigm(z) if cfg.output == "sigmoid" else z)
             continue
-        a = _sigm(z) if cfg.hidden == "sigm" else 1.7159 * np.tanh(z * (2.0 / 3.0))
+        a = _sigm(z) if cfg.hidden == "sigmoid" else 1.7159 * np.tanh(z * (2.0 / 3.0))
         mask = np.ones_like(a)
         if cfg.dropout > 0:
             if ids is None:
@@ -211,7 +184,7 @@ def zero_inputs(x: np.ndarray, cfg: NetConfig, ids: np.ndarray, epoch: int) -> n
 def backward(y: np.ndarray, acts: list[np.ndarray], masks: list[np.ndarray], W: list[np.ndarray], cfg: NetConfig, running: list[np.ndarray] | None) -> list[np.ndarray]:
     """Gradient sums per weight matrix over the rows."""
     e = y - acts[-1]
-    d = -e * acts[-1] * (1.0 - acts[-1]) if cfg.output == "sigm" else -e
+    d = -e * acts[-1] * (1.0 - acts[-1]) if cfg.output == "sigmoid" else -e
     grads = [None] * len(W)
     for i in range(len(W) - 1, -1, -1):
         grads[i] = d.T @ acts[i]
@@ -223,7 +196,7 @@ def backward(y: np.ndarray, acts: list[np.ndarray], masks: list[np.ndarray], W:
             push = cfg.sparsity_penalty * (-t / p + (1.0 - t) / (1.0 - p))
             back = back + np.hstack([[0.0], push.ravel()])[None, :]
         a = acts[i]
-        slope = a * (1.0 - a) if cfg.hidden == "sigm" else 1.7159 * (2.0 / 3.0) * (1.0 - (a / 1.7159) ** 2)
+        slope = a * (1.0 - a) if cfg.hidden == "sigmoid" else 1.7159 * (2.0 / 3.0) * (1.0 - (a / 1.7159) ** 2)
         d = (back * slope)[:, 1:] * masks[i - 1]
     return grads
 
@@ -287,7 +260,7 @@ def net_loss(df: DataFrame, cfg: NetConfig, W: list[np.ndarray]) -> float:
         e = y - forward(x, W, cfg)[0][-1]
         return {"sum": np.array([[float((e * e).sum()), float(len(ids))]])}
 
-    total, n = _summed(df, work, ["sum"]).get("sum", np.zeros((1, 2)))[0]
+    total, n = _summed(df, work).get("sum", np.zeros((1, 2)))[0]
     return 0.5 * total / n if n else float("nan")
 
 
@@ -302,7 +275,7 @@ def net_gradient(df: DataFrame, cfg: NetConfig, W: list[np.ndarray], epoch: int
         out["sum"] = np.array([[float((e * e).sum()), float(len(ids))]])
         return out
 
-    sums = _summed(df, work, [f"w{i}" for i in range(len(W))])
+    sums = _summed(df, work)
     if "sum" not in sums:
         return [np.zeros_like(w) for w in W], float("nan"), 0
     total, n = sums["sum"][0]
@@ -316,7 +289,7 @@ def _mean_activation(df: DataFrame, cfg: NetConfig, W: list[np.ndarray], epoch:
         out["sum"] = np.array([[float(len(ids))]])
         return out
 
-    sums = _summed(df, work, [])
+    sums = _summed(df, work)
     return [sums[f"p{i}"] / sums["sum"][0, 0] for i in range(len(W) - 1)]
 
 
@@ -409,7 +382,7 @@ def rbm_train(df: DataFrame, hidden: int, batch_rows: int, epochs: int, momentum
                     "sum": np.array([[float(((v1 - v2) ** 2).sum()), float(len(ids))]]),
                 }
 
-            sums = _summed(batches.batch(epoch, index), work, ["W", "b", "c", "sum"])
+            sums = _summed(batches.batch(epoch, index), work)
             if "sum" not in sums:
                 continue
             total, n = sums["sum"][0]
@@ -437,4 +410,4 @@ def dbn_to_net(layers: list[Rbm], outputs: int = 0, seed: int = 1, **options) ->
     if outputs > 0:
         weights.append(initial_weights((size[-1], outputs), seed)[0])
         size.append(outputs)
-    return NetConfig(tuple(size), hidden="sigm", seed=seed, **options), weights
+    return NetConfig(tuple(size), hidden="sigmoid", seed=seed, **options), weights

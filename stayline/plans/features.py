@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stayline.functions.encoding import encode_lines
 from stayline.functions.strings import tokens
 from stayline.functions.vectors import append_bias
-from stayline.operators import features, matrix
+from stayline.operators import features, matrix, tiles
 from stayline.plans.oracle_views import with_views
 from stayline.plans.registry import query, r6
 from stayline.sources import views
@@ -82,6 +82,19 @@ def gram(spark, sf_dir):
     return matrix.gram(views.vectors(spark, sf_dir), "x").withColumn("v", r6("v"))
 
 
+@query("gram_wide", """
+    with t as (select o_custkey as r, l_partkey % 4096 as c, sum(l_quantity) as v from lineitem join orders on l_orderkey = o_orderkey group by 1, 2),
+    g as (select a.c as i, b.c as j, sum(a.v * b.v) as v from t a join t b on a.r = b.r and a.c <= b.c group by 1, 2)
+    select i, count(*) as n, sum(v) as total, max(v) as most from g where v <> 0 group by i""")
+def gram_wide(spark, sf_dir):
+    """How much customers bought of two of 4,096 part groups: the upper triangle, summed up by row."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_partkey") % 4096).alias("j"), F.col("l_quantity").alias("v"))
+    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey").agg(F.collect_list(F.struct("j", "v")).alias("cells"))
+    cells = tiles.untile(tiles.gram_wide(rows, "cells")).where("i <= j")
+    return cells.groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"), F.max("v").alias("most"))
+
+
 _WEIGHTS = [[((k * 7 + j * 3) % 11 - 5) / 10 for j in range(64)] for k in range(3)]
 
 
@@ -112,23 +125,39 @@ def coo_build(spark, sf_dir):
     return _coo_pair(spark, sf_dir)[0]
 
 
-@query("coo_matmul", """
+_MATMUL = """
     select a.i, b.j, sum(a.v * b.v) as v from
         (select l_suppkey as i, l_partkey as k, sum(l_quantity) as v from lineitem group by 1, 2) a join
         (select p_partkey as k, cast(substr(p_brand, 7) as bigint) as j, cast(p_size as double) as v from part where p_size <> 0) b on a.k = b.k
-    group by a.i, b.j having sum(a.v * b.v) <> 0""")
-def coo_matmul(spark, sf_dir):
+    group by a.i, b.j having sum(a.v * b.v) <> 0"""
+
+
+def _factors(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("i"), F.col("l_partkey").alias("j"), F.col("l_quantity").alias("v"))
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("i"), F.substring("p_brand", 7, 9).cast("bigint").alias("j"), F.col("p_size").cast("double").alias("v")
     )
-    return matrix.coo_matmul(lines, part)
+    return lines, part
+
+
+@query("coo_matmul", _MATMUL)
+def coo_matmul(spark, sf_dir):
+    return matrix.coo_matmul(*_factors(spark, sf_dir))
 
 
-@query("coo_concat", f"""
+@query("block_matmul", _MATMUL)
+def block_matmul(spark, sf_dir):
+    lines, part = _factors(spark, sf_dir)
+    return tiles.untile(tiles.multiply(tiles.tile(lines), tiles.tile(part)))
+
+
+_CONCAT = f"""
     with a as (select * from {_BUILT.format(_QTY)}), b as (select * from {_BUILT.format(_TAX)})
     select 'h' as kind, i, j, v from a union all select 'h', i, j + 8, v from b union all
-    select 'v', i, j, v from a union all select 'v', i + 1000000, j, v from b union all select 't', j, i, v from a""")
+    select 'v', i, j, v from a union all select 'v', i + 1000000, j, v from b union all select 't', j, i, v from a"""
+
+
+@query("coo_concat", _CONCAT)
 def coo_concat(spark, sf_dir):
     a, b = _coo_pair(spark, sf_dir)
     parts = {"h": matrix.coo_hconcat(a, b, 8), "v": matrix.coo_vconcat(a, b, 1_000_000), "t": matrix.coo_transpose(a)}
@@ -136,6 +165,16 @@ def coo_concat(spark, sf_dir):
     return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
 
 
+@query("block_concat", _CONCAT)
+def block_concat(spark, sf_dir):
+    """Offsets that aren't multiples of the tile size: tiles are cut and added at the seams."""
+    size = 48
+    a, b = (tiles.tile(m, size) for m in _coo_pair(spark, sf_dir))
+    parts = {"h": tiles.hconcat(a, b, 8, size), "v": tiles.vconcat(a, b, 1_000_000, size), "t": tiles.transpose(a, size)}
+    tagged = [tiles.untile(m, size).select(F.lit(k).alias("kind"), "i", "j", "v") for k, m in parts.items()]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+
+
 @query("coo_row_mean", f"""
     with a as (select * from {_BUILT.format(_QTY)}), m as (select i, avg(v) as mean from a group by i)
     select a.i, a.j, round(a.v + m.mean, 6) as v, round(m.mean, 6) as mean from a join m on a.i = m.i""")

@@ -459,16 +459,50 @@ _UNIT = [0.1] + [((j * 3) % 7 - 3) / 10 for j in range(64)]
     d as (select list_prepend(1.0::double, x) as x, -(y - o) * o * (1 - o) as d from a)
     select cast(i - 1 as int) as position, round(avg(d * x[i]), 6) as v from d, range(1, 66) t(i) group by i"""))
 def nn_gradient(spark, sf_dir):
-    cfg = neural.NetConfig((64, 1), output="sigm")
+    cfg = neural.NetConfig((64, 1), output="sigmoid")
     grads, _, _ = neural.net_gradient(_samples(spark, sf_dir), cfg, [np.array([_UNIT])])
     rows = [(j, float(v)) for j, v in enumerate(grads[0][0])]
     return spark.createDataFrame(rows, "position int, v double").withColumn("v", r6("v"))
 
 
+def _deep(layer, i, j):
+    """Weights of a net with two hidden layers; the same rule in SQL below."""
+    return ((5 * i + 3 * j + layer) % 7 - 3) / 10
+
+
+def _deep_units(layer, inputs, width, below):
+    row = "list_transform(range(0, {n}), lambda j: ((5 * {i} + 3 * j + {l}) % 7 - 3) / 10.0::double)"
+    return "[" + ", ".join(f"1 / (1 + exp(-list_inner_product({below}, {row.format(n=inputs, i=i, l=layer)})))" for i in range(width)) + "]"
+
+
+_RULE = "((5 * {i} + 3 * {j} + {l}) % 7 - 3) / 10.0::double"
+
+
+@query("nn_gradient_deep", with_views("v6", f"""
+    with l0 as (select list_prepend(1.0::double, x) as x, label / 10 as y from v6),
+    l1 as (select *, list_prepend(1.0::double, {_deep_units(0, 65, 3, 'x')}) as a from l0),
+    l2 as (select *, list_prepend(1.0::double, {_deep_units(1, 4, 2, 'a')}) as b from l1),
+    l3 as (select *, {_deep_units(2, 3, 1, 'b')}[1] as o from l2),
+    d3 as (select *, -(y - o) * o * (1 - o) as e3 from l3),
+    d2 as (select *, [{', '.join(f"e3 * {_RULE.format(i=0, j=k + 1, l=2)} * b[{k + 2}] * (1 - b[{k + 2}])" for k in range(2))}] as e2 from d3),
+    d1 as (select *, [{', '.join('(' + ' + '.join(f"e2[{k + 1}] * {_RULE.format(i=k, j=m + 1, l=1)}" for k in range(2)) + f') * a[{m + 2}] * (1 - a[{m + 2}])' for m in range(3))}] as e1 from d2),
+    g as (select 0 as layer, i - 1 as i, j - 1 as j, avg(e1[i] * x[j]) as v from d1, range(1, 4) p(i), range(1, 66) q(j) group by i, j
+        union all select 1, i - 1, j - 1, avg(e2[i] * a[j]) from d1, range(1, 3) p(i), range(1, 5) q(j) group by i, j
+        union all select 2, 0, j - 1, avg(e3 * b[j]) from d1, range(1, 4) q(j) group by j)
+    select cast(layer as int) as layer, cast(i as int) as i, cast(j as int) as j, round(v, 8) as v from g"""))
+def nn_gradient_deep(spark, sf_dir):
+    """The mean gradient of all three weight matrices."""
+    cfg = neural.NetConfig((64, 3, 2, 1), hidden="sigmoid", output="sigmoid")
+    weights = [np.array([[_deep(n, i, j) for j in range(a + 1)] for i in range(b)]) for n, (a, b) in enumerate(zip(cfg.size, cfg.size[1:]))]
+    grads, _, _ = neural.net_gradient(_samples(spark, sf_dir), cfg, weights)
+    rows = [(n, i, j, float(v)) for n, g in enumerate(grads) for (i, j), v in np.ndenumerate(g)]
+    return spark.createDataFrame(rows, "layer int, i int, j int, v double").withColumn("v", F.round("v", 8))
+
+
 @query("nn_train", "select count(*) as n, true as good from embeddings")
 def nn_train(spark, sf_dir):
     """Every row is scored inside the output's range, and the loss after training is finite and below a half."""
-    cfg = neural.NetConfig((64, 6, 1), hidden="tanh_opt", output="sigm", rate=0.5, momentum=0.5, rate_decay=0.99)
+    cfg = neural.NetConfig((64, 6, 1), hidden="scaled_tanh", output="sigmoid", rate=0.5, momentum=0.5, rate_decay=0.99)
     samples = _samples(spark, sf_dir)
     model = neural.net_train(samples, cfg, batch_rows=max(1, samples.count() // 3), epochs=2, validation=0.2)
     scored = model.predict(samples)

@@ -129,7 +129,7 @@ def xor(spark):
     return spark.createDataFrame(data, "id bigint, label array<double>, features array<double>").repartition(3).persist()
 
 
-@pytest.mark.parametrize("hidden, output", [("sigm", "sigm"), ("tanh_opt", "linear")])
+@pytest.mark.parametrize("hidden, output", [("sigmoid", "sigmoid"), ("scaled_tanh", "linear")])
 def test_backward_is_the_slope(hidden, output):
     rng = np.random.default_rng(0)
     cfg = neural.NetConfig((3, 4, 2), hidden=hidden, output=output)
@@ -150,7 +150,7 @@ def test_backward_is_the_slope(hidden, output):
 
 
 def test_network_learns_xor(xor):
-    cfg = neural.NetConfig((2, 6, 1), hidden="tanh_opt", output="linear", rate=0.1, momentum=0.5, seed=1)
+    cfg = neural.NetConfig((2, 6, 1), hidden="scaled_tanh", output="linear", rate=0.1, momentum=0.5, seed=1)
     model = neural.net_train(xor, cfg, batch_rows=400, epochs=25)
     assert model.history[-1]["train"] < model.history[0]["train"] and model.history[-1]["train"] < 0.05
     wrong = model.predict(xor).where((F.col("prediction")[0] > 0.5) != (F.col("label")[0] > 0.5)).count()
@@ -177,7 +177,7 @@ def test_mini_batches_partition_an_epoch(xor):
 
 
 def test_all_network_options_run(spark, xor):
-    cfg = neural.NetConfig((2, 5, 4, 1), hidden="sigm", output="linear", rate=0.1, momentum=0.3, rate_decay=0.9, weight_penalty=0.01,
+    cfg = neural.NetConfig((2, 5, 4, 1), hidden="sigmoid", output="linear", rate=0.1, momentum=0.3, rate_decay=0.9, weight_penalty=0.01,
                            sparsity_penalty=0.1, input_zeroed=0.1, dropout=0.2)
     model = neural.net_train(xor, cfg, batch_rows=150, epochs=2, validation=0.25)
     assert len(model.history) == 2 and all(np.isfinite(h["train"]) and np.isfinite(h["validation"]) for h in model.history)
