@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from stayline.functions.encoding import encode_lines
 from stayline.functions.scalars import share_limit
 from stayline.functions.strings import field, split_fields
-from stayline.operators import descent, isotonic, metrics, models, neural, sampling
+from stayline.operators import descent, factors, isotonic, metrics, models, neural, sampling
 from stayline.operators.features import minmax_scale
 from stayline.plans import jobs
 from stayline.plans.continuity import GUID_CONTINUITY
 from stayline.plans.oracle_views import hash_number, with_views
 from stayline.plans.registry import query, r6
-from stayline.session import scratch_path
+from stayline.session import cut_lineage, scratch_path
 from stayline.sources import views
 from stayline.sources.tables import table
 
@@ -420,6 +420,65 @@ def ml_als_implicit(spark, sf_dir):
     return model.transform(rows).agg(F.count(F.lit(1)).alias("n"), (F.avg("prediction") > 0).alias("good"))
 
 
+# ---- factors as tables: rank 1 has a closed form, which SQL unrolls ------------------------------------
+
+_REG = 0.05
+
+
+def _sweeps_sql(sweeps: int) -> str:
+    """u1, i1, u2, …: factors of users and items after each half step, from draws of the item ids."""
+    steps = [f"i0 as (select item as id, {hash_number('item', '1:0')} / 4294967296.0::double as f from (select distinct item from v5))"]
+    for n in range(1, sweeps + 1):
+        for side, key, other, ids in (("u", "user_id", "item", f"i{n - 1}"), ("i", "item", "user_id", f"u{n}")):
+            steps.append(
+                f"{side}{n} as materialized (select {key} as id, sum(rating * f) / (sum(f * f) + {_REG} * count(*)) as f from v5 join {ids} s on s.id = v5.{other} group by {key})"
+            )
+    return ", ".join(steps)
+
+
+def _rated_long(spark, sf_dir):
+    return views.ratings(spark, sf_dir).withColumnRenamed("user_id", "user")
+
+
+@query("als_half_step", with_views("v5", f"with {_sweeps_sql(1)} select id, round(f, 6) as factor from u1"))
+def als_half_step(spark, sf_dir):
+    """User factors of rank 1 from the start factors of the items."""
+    rows, settings = _rated_long(spark, sf_dir), factors.Settings(rank=1, reg=_REG)
+    links = factors.Links(rows, "user", "item", settings, 8)
+    start = factors.initial(rows.select(F.col("item").alias("id")).distinct(), settings)
+    found = cut_lineage(factors.half_step(links, start, settings))
+    links.drop()
+    return found.select("id", r6(F.col("factors")[0]).alias("factor"))
+
+
+_SWEPT = "select sqrt(avg(pow(rating - u3.f * i3.f, 2))) as rmse, count(*) as n from v5 join u3 on u3.id = user_id join i3 on i3.id = item"
+
+
+@query("als_sweeps", with_views("v5", f"""
+    with {_sweeps_sql(3)}, e as ({_SWEPT})
+    select 'user' as side, id, round(f, 5) as factor, round(rmse, 5) as rmse from u3, e union all select 'item', id, round(f, 5), round(rmse, 5) from i3, e"""))
+def als_sweeps(spark, sf_dir):
+    """All factors after three sweeps, and the error over all ratings."""
+    rows = _rated_long(spark, sf_dir)
+    model = factors.train(rows, factors.Settings(rank=1, reg=_REG), sweeps=3)
+    sides = model.users.withColumn("side", F.lit("user")).unionByName(model.items.withColumn("side", F.lit("item")))
+    return sides.join(F.broadcast(model.error(rows)), F.lit(True)).select(
+        "side", "id", F.round(F.col("factors")[0], 5).alias("factor"), F.round("rmse", 5).alias("rmse")
+    )
+
+
+@query("als_roundtrip", with_views("v5", f"""
+    with {_sweeps_sql(3)}, e as ({_SWEPT}) select unnest(['before', 'after']) as model, n, round(rmse, 5) as rmse from e"""))
+def als_roundtrip(spark, sf_dir):
+    """The error of a model, and of the same one saved and loaded."""
+    rows, path = _rated_long(spark, sf_dir), scratch_path(spark, "factors")
+    model = factors.train(rows, factors.Settings(rank=1, reg=_REG), sweeps=3)
+    model.save(path)
+    both = {"before": model, "after": factors.Factors.load(spark, path)}
+    parts = [m.error(rows).select(F.lit(name).alias("model"), "n", F.round("rmse", 5).alias("rmse")) for name, m in both.items()]
+    return parts[0].unionByName(parts[1])
+
+
 @query("text_classifier", """
     select (select count(*) from documents) as n, count(*) as labelled, true as good from labels join documents using (doc_id)""")
 def text_classifier(spark, sf_dir):
