@@ -3,7 +3,7 @@
 A text becomes a vector of character 1- to 3-grams hashed to ``SIZE`` columns: logarithmic counts, weighted by inverse document
 frequency, scaled to length one. Document frequencies come from all training rows. The centroids of a language are the
 clusters of a sample of its vectors (spherical k-means, ``clusters`` per language, from at most about ``sample`` rows per
-language and ``most`` in all; both are parameters). A text gets the language of the centroid with the largest cosine.
+language and ``most`` in all; both are parameters, and every language has one row at least). A text gets the language of the centroid with the largest cosine.
 
 Rejection: short texts are farther from every centroid than long ones, so the bound is the smallest cosine that the sample has
 for each doubling of length below 2**LONG characters, at most ``shrink`` times that of twice the length; a text is rejected if its cosine is below
@@ -24,6 +24,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayline.llm.scratch import stage
+
 SIZE = 4096
 _MULT = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 _SHIFT = np.uint32(32 - SIZE.bit_length() + 1)
@@ -35,8 +37,8 @@ LETTER = np.array([chr(i).isalpha() for i in range(1 << 16)])
 
 
 def held_out(doc_id: Column) -> Column:
-    """True for the quarter of the documents that is kept for testing."""
-    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
+    """True for the quarter of the documents that is kept for testing; a null id is not held out."""
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
 
 
 def grams(text: str) -> np.ndarray:
@@ -104,14 +106,16 @@ def clustered(vectors: np.ndarray, clusters: int, rounds: int = 12) -> np.ndarra
 def fit(training: DataFrame, clusters: int = 4, sample: int = 300, most: int = 3000, slack: float = 0.5, shrink: float = 0.7, seed: int = 3) -> dict | None:
     """A model from ``text, lang`` rows (and ``doc_id``, by which the sample is drawn)."""
     rows = training.filter("lang is not null and text is not null").select("doc_id", F.col("text").cast("string").alias("text"), "lang")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most).collect()}
-    if not sizes:
+    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
+    # the row of the least draw is always taken, so that no language is lost to chance
+    sizes = stage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(draw).alias("least")), "langid-sizes")
+    count = sizes.count()
+    if not count:
         return None
     frequencies, n = document_frequencies(rows.select("text"))
     idf = np.log((1 + n) / (1 + frequencies)).astype(np.float32) + np.float32(0.05)
-    each = max(1, min(sample, most // len(sizes)))
-    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
-    limit = F.create_map(*[F.lit(x) for lang, count in sizes.items() for x in (lang, min(1.0, each / count))])
+    each = max(1, min(sample, most // count))
+    limits = sizes.select("lang", "least", (F.lit(float(each)) / F.col("n")).alias("limit"))
 
     def as_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,7 +125,8 @@ def fit(training: DataFrame, clusters: int = 4, sample: int = 300, most: int = 3
                 names=["v", "lang", "doubling", "letters"],
             )
 
-    taken = rows.filter(draw < F.try_element_at(limit, F.col("lang"))).select("text", "lang").mapInArrow(as_vectors, "v binary, lang string, doubling int, letters boolean")
+    drawn_rows = rows.withColumn("draw", draw).join(limits, "lang").filter("draw < limit or draw = least")
+    taken = drawn_rows.select("text", "lang").mapInArrow(as_vectors, "v binary, lang string, doubling int, letters boolean")
     drawn = sorted((r["lang"], r["v"], r["doubling"]) for r in taken.collect() if r["letters"])
     languages, parts, near = [], [], {}
     for lang in sorted({d[0] for d in drawn}):

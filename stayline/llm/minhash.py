@@ -326,6 +326,26 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     )
 
 
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """All columns of the rows of ``docs`` that stay: one of each component of linked rows.
+
+    Rows are told apart by a number of their own, so rows without an id are compared as well, and rows that repeat an id stay or go
+    each for its own text. Of a component the row with the smallest doc_id stays (a row without one only if none has any), of rows
+    with equal ids the one whose text has the smaller digest.
+    """
+    row = "minhash_row"
+    while row in docs.columns:
+        row += "_"
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "minhash-rows")
+    found = near_components(numbered.select(F.col(row).alias("doc_id"), "text"), width, percent).select(F.col("doc_id").alias("node"), "component_id")
+    rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("digest"), F.col(row).alias("node"))
+    members = stage(found.join(numbered.select(F.col(row).alias("node"), rank.alias("rank")), "node"), "minhash-members")
+    first = members.groupBy("component_id").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = stage(first.select("component_id", F.col("first.node").alias("first")), "minhash-first")
+    gone = members.join(first, "component_id").filter("node <> first").select(F.col("node").alias(row))
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
+
+
 def _with_all(labels: DataFrame, busy: DataFrame) -> DataFrame:
     """Labels of all nodes that share a bucket; a node without links is its own component."""
     return (

@@ -9,7 +9,8 @@ taken stay within about one document of the target. The running sum is built in
 (a size range and a hash bucket), and over the sums of the cells. No task sees a whole source.
 
 Nulls: a null text has size 0; the null source is a source of its own, the last one. Documents of size 0 are sampled like
-others and add no words; a source of size 0 has target 0 and emits nothing. Repeated rows are documents of their own.
+others and add no words; a source of size 0 has target 0 and emits nothing. Repeated rows are documents of their own. A null id
+draws by its text; rows of equal ids stand in the order of a hash of their text.
 Empty tables give no rows. All other columns are kept; names that start with ``mix_`` are reserved, and such columns are dropped.
 """
 
@@ -80,8 +81,11 @@ def mix(
     # a quarter of an octave of size, then a bucket of the id: the cells of a source in their order
     bits = F.length(F.bin("mix_size"))
     quarter = F.floor(F.col("mix_size") * 8 / F.pow(F.lit(2.0), bits)).cast("long")
+    # rows without an id draw by their text, and text orders rows of equal ids, so that any partitioning gives the same copies
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")) if "text" in docs.columns else F.lit("")
     placed = (
-        sized.withColumn("mix_draw", _draw(seed, F.col("doc_id")))
+        sized.withColumn("mix_draw", _draw(seed, F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(text.cast("binary"))))))
+        .withColumn("mix_text", F.xxhash64(text))
         .withColumn("mix_key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
         .withColumn("mix_cell", (bits.cast("long") * 8 + quarter) * cells + F.pmod(F.col("mix_draw"), F.lit(cells)))
     )
@@ -94,8 +98,8 @@ def mix(
     )
     run = Window.partitionBy("mix_key").orderBy("mix_cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_cell.select("mix_key", "mix_cell", F.coalesce(F.sum("mix_n").over(run), F.lit(0)).alias("mix_before")).join(per_source, "mix_key")
-    inside = Window.partitionBy("mix_key", "mix_cell").orderBy("mix_size", "mix_draw", "doc_id")
-    crossed = lambda n: F.floor((n * F.col("mix_rate") + F.col("mix_offset")) / F.lit(UNIT))
+    inside = Window.partitionBy("mix_key", "mix_cell").orderBy("mix_size", "mix_draw", "doc_id", "mix_text")
+    crossed = lambda n: F.shiftright(n * F.col("mix_rate") + F.col("mix_offset"), UNIT.bit_length() - 1)
     place = F.col("mix_before") + F.col("mix_nth")
     return (
         placed.withColumn("mix_nth", F.row_number().over(inside))

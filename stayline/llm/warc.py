@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline import session
@@ -105,11 +105,18 @@ def mark_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
     return plain.join(other, same, "left").select("page_id", "url", "html", "refers_to")
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder's URI with scheme and host, as Spark itself would open it: a bare path belongs to the default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path).toUri()
+    return f"{uri.getScheme()}://{uri.getRawAuthority() or ''}{uri.getRawPath()}"
+
+
 def write(pages: DataFrame, root: str | None = None, least: int = 0, level: int = 1) -> DataFrame:
-    """Archive all pages under ``root`` (a URI; by default a new folder of the shared one) and return the index."""
+    """Archive all pages under ``root`` (a path or URI of any form that Hadoop takes; by default a new folder of the shared one) and return the index."""
     spark = pages.sparkSession
     root = root or session.scratch_path(spark, "warc")
-    uri = root if "://" in root else f"file://{root}"
+    uri = qualified(spark, root)
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()

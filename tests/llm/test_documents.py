@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from stayline.llm import chunks, langid, licences, toxicity
 from stayline.llm.queries import QUERIES
@@ -159,3 +160,12 @@ def test_chain_feeds_earlier_categories():
     first = ((x[:, 0] + x[:, 1]) > 0).astype(np.float32)
     models = toxicity.fit_chain(x, [first, first * (x[:, 2] > 0)], np.arange(600) % 3)
     assert [len(m) for m in models] == [7, 8] and models[1][6] > 0.5
+
+
+def test_every_labelled_language_is_learned(spark):
+    """Many languages of one or two rows each: none is lost to the draw of the sample."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, " ".join(letters[(k * 7 + j * 3) % 26] * 3 for j in range(6)), f"l{k:03d}") for i, k in enumerate([*range(400), *range(0, 400, 5)])]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most=100)
+    assert set(model["languages"]) == {r[2] for r in rows}
+    assert spark.range(1).select(langid.held_out(F.lit(None).cast("long"))).first()[0] is False

@@ -107,6 +107,15 @@ def test_archives_round_trip(spark):
     assert empty.count() == 0 and warc.read(empty).count() == 0
 
 
+@pytest.mark.parametrize("form", ["{}", "file:{}", "file://{}", "{}/with a space"])
+def test_folders_of_any_form(spark, tmp_path, form):
+    """A bare path, and the URI forms that Hadoop and Spark give back."""
+    pages = spark.createDataFrame([(1, "u", "<p>é", "t", "f"), (2, None, None, "t", "f")], PAGE)
+    index = warc.write(pages, form.format(tmp_path))
+    assert {r["file"][:8] for r in index.collect()} == {"file:///"}
+    assert sorted((r["page_id"], r["html"]) for r in warc.read(index, payload=True).collect()) == [(1, "<p>é"), (2, "")]
+
+
 def test_ranges_are_joined():
     assert list(warc.joined_ranges([0, 10, 30, 100], [10, 10, 10, 5], gap=10, most=1000)) == [(0, 3), (3, 4)]
     assert list(warc.joined_ranges([0, 10, 20], [10, 10, 10], gap=0, most=20)) == [(0, 2), (2, 3)]

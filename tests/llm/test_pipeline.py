@@ -45,7 +45,23 @@ def test_repeated_and_missing_ids(spark, sf):
     schema = spark.read.parquet(f"{sf}/documents.parquet").schema
     rows = [(1, "a b c d e f g", "en", "s", 1), (1, "h i j k l m n", "en", "s", 1), (None, "a b c d e f g", "en", None, 1), (None, "x y", None, "s", 1), (2, "a b c d e f g", "en", "s", 1)]
     out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, schema), sf).collect()
-    assert sorted((r["doc_id"] or 0, r["text"]) for r in out) == [(0, "a b c d e f g"), (0, "x y"), (1, "a b c d e f g")]
+    # rows are compared each for its own text, with or without an id
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in out) == [(0, "x y"), (1, "a b c d e f g"), (1, "h i j k l m n")]
+    rows = [(1, "a b c d e", "en", "s", 1), (1, "h i j k l", "en", "s", 1), (None, "q r s t u", "en", "s", 1), (None, "q r s t u", "en", "s", 1), (3, "q r s t u", "en", "s", 1),
+            (None, "only copies here now", "en", "s", 1), (None, "only copies here now", "en", "s", 1), (4, None, "en", "s", 1), (4, None, "en", "s", 1), (5, "", "en", "s", 1)]
+    for parts in (1, 7):
+        out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, schema).repartition(parts), sf)
+        assert out.columns == schema.names
+        assert sorted(((r["doc_id"] or 0, r["text"] or "") for r in out.collect())) == [
+            (0, "only copies here now"), (1, "a b c d e"), (1, "h i j k l"), (3, "q r s t u"), (4, ""), (4, ""), (5, "")]
+
+
+def test_mix_is_the_same_for_any_partitioning(spark, sf):
+    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
+    rows = [(None if i % 2 else 7, f"text {i} " * (i % 5 + 1), "en", f"s{i % 3}", 1) for i in range(600)]
+    docs = spark.createDataFrame(rows, schema)
+    once = lambda n: sorted((r["doc_id"] or 0, r["text"], r["mix_copy"]) for r in corpus_pipeline.mix_sources(spark, docs.repartition(n), sf).collect())
+    assert once(2) == once(5) and len({r[1] for r in once(2)}) > 300
 
 
 def test_rows_without_an_id_stay_spread(spark, sf):
