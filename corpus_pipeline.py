@@ -8,8 +8,7 @@ Columns of the input that the stages don't know pass through; names that start w
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from stayline.llm import decontaminate, langid, minhash, mixing, toxicity
 from stayline.llm.scratch import stage
@@ -31,15 +30,9 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies (five-word shingles, similarity of 0.8 or more), the one with the smallest id.
 
-    Of rows that repeat that id the one with the first text stays; rows without an id all stay.
+    Every row is compared for its own text, also rows without an id and rows that repeat one.
     """
-    # rows without an id would all be dealt to one task
-    named = docs.filter("doc_id is not null")
-    found = minhash.near_components(named.select("doc_id", "text"), width=5, percent=80)
-    copies = found.filter("not kept").select(F.col("doc_id").alias("llm_copy")).distinct()
-    kept = named.join(copies, F.col("doc_id") == F.col("llm_copy"), "left_anti")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return kept.withColumn("llm_nth", nth).filter("llm_nth = 1").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    return minhash.one_of_each(docs, width=5, percent=80)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +53,7 @@ STAGES = [
     ("benchmark_leaks", benchmark_leaks),
     ("mix_sources", mix_sources),
 ]
-# classifiers and near copies are beyond SQL; tests/llm compares the stages with plain versions
+# classifiers and near copies are beyond SQL; tests/llm tests the operators against plain versions and the stages' decisions
 ORACLE_SQL = None
 
 
