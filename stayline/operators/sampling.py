@@ -6,10 +6,13 @@ executor. The key must identify a row.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.functions.scalars import hash_number, share_limit
+from stayline.session import cut_lineage
 
 
 def with_split(df: DataFrame, key: str, weights: list[float], seed: int | str, name: str = "split") -> DataFrame:
@@ -107,3 +110,50 @@ def folds(df: DataFrame, key: str, k: int, seed: int | str, swap: bool = False)
         rest, one = (tagged.where(c).drop("_fold") for c in (F.col("_fold") != i, F.col("_fold") == i))
         pairs.append((one, rest) if swap else (rest, one))
     return pairs
+
+
+def ranked(df: DataFrame, key: str, name: str = "rank", partitions: int | None = None) -> tuple[DataFrame, int]:
+    """All columns and the rank of the row in key order, from 0 and without gaps; and the number of rows.
+
+    Rows are dealt by ranges of the key once; only one count per range passes through the driver. The key must identify a row.
+    """
+    spark = df.sparkSession
+    placed = df.repartitionByRange(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    placed = cut_lineage(placed.withColumn("_part", F.spark_partition_id()))
+    before, n = [], 0
+    for r in placed.groupBy("_part").count().orderBy("_part").collect():
+        before.append((r["_part"], n))
+        n += r["count"]
+    offsets = spark.createDataFrame(before, "_part int, _before long")
+    nth = F.row_number().over(Window.partitionBy("_part").orderBy(key))
+    return placed.withColumn("_nth", nth).join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + F.col("_nth") - 1).drop("_part", "_nth", "_before"), n
+
+
+def permuted(rank: Column, n: int, seed: int | str, walks: int = 32) -> Column:
+    """A permutation of 0 … n - 1: four Feistel rounds on a grid of about √n × √n; what falls outside is permuted again.
+
+    The grid has fewer than √n places too many, so that a second walk is rare.
+    """
+    a = max(1, math.isqrt(max(n - 1, 0)) + 1)
+    b = max(1, -(-n // a))
+
+    def rounds(v: Column) -> Column:
+        left, right = F.floor(v / b).cast("long"), v % b
+        left = (left + hash_number(right, f"{seed}:0")) % a
+        right = (right + hash_number(left, f"{seed}:1")) % b
+        left = (left + hash_number(right, f"{seed}:2")) % a
+        right = (right + hash_number(left, f"{seed}:3")) % b
+        return left * b + right
+
+    again = lambda v, i: F.when((i > 0) & (v < n), v).otherwise(rounds(v))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(walks)), rank.cast("long"), lambda v, i: again(v, i))
+
+
+def minibatches(df: DataFrame, key: str, size: int, seed: int | str, epoch: int = 0) -> DataFrame:
+    """All columns with ``batch`` and ``place``: every row in one batch, each batch of exactly ``size`` rows but for the last.
+
+    A draw without replacement: a row's place is a permutation of its rank, for each epoch another one.
+    """
+    rows, n = ranked(df, key, "_rank")
+    at = rows.withColumn("_at", permuted(F.col("_rank"), n, f"{seed}:{epoch}"))
+    return at.withColumns({"batch": F.floor(F.col("_at") / size).cast("long"), "place": F.col("_at") % size}).drop("_rank", "_at")

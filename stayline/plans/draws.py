@@ -53,3 +53,22 @@ def rebalance(spark, sf_dir):
     select o_orderkey, cast({hash_number('o_orderkey', 7)} % 10 as int) as fold from orders""")
 def kfold(spark, sf_dir):
     return sampling.with_fold(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 10, 7)
+
+
+def _walk(step: str, before: str) -> str:
+    """One walk through the grid; a value already inside stays."""
+    h = lambda x, i: hash_number(x, f"5:2:{i}")
+    return f"""{step} as (
+        select o_orderkey, n, a, b, case when {'false' if before == 'w0' else 'v < n'} then v else l2 * b + r2 end as v from (
+            select *, v // b as l0, v % b as r0, (l0 + {h('r0', 0)}) % a as l1, (r0 + {h('l1', 1)}) % b as r1,
+                (l1 + {h('r1', 2)}) % a as l2, (r1 + {h('l2', 3)}) % b as r2 from {before}))"""
+
+
+@query("minibatch_draw", f"""
+    with r as (select o_orderkey, row_number() over (order by o_orderkey) - 1 as v, count(*) over () as n from orders),
+    g as (select *, floor(sqrt(n - 1))::bigint + 1 as a from r),
+    w0 as (select *, (n + a - 1) // a as b from g), {_walk('w1', 'w0')}, {_walk('w2', 'w1')}, {_walk('w3', 'w2')}
+    select o_orderkey, v // 1000 as batch, v % 1000 as place from w3""")
+def minibatch_draw(spark, sf_dir):
+    """The batches of one epoch: 1,000 orders each."""
+    return sampling.minibatches(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 1000, 5, epoch=2)

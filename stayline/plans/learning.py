@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.ml import Pipeline
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from stayline.functions.encoding import encode_lines
 from stayline.functions.scalars import share_limit
 from stayline.functions.strings import field, split_fields
-from stayline.operators import descent, factors, isotonic, metrics, models, neural, sampling
+from stayline.operators import clusters, descent, factors, isotonic, metrics, models, neural, sampling, splits
 from stayline.operators.features import minmax_scale
 from stayline.plans import jobs
 from stayline.plans.continuity import GUID_CONTINUITY
@@ -253,6 +254,97 @@ def kmeans_cost(spark, sf_dir):
     return metrics.nearest_cost(rows, "distance").withColumn("cost", r6("cost"))
 
 
+_APART = "list_sum(list_transform(list_zip(x, c), lambda z: pow(z[1] - z[2], 2)))"
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """a0, c1, a1, …: the nearest centre of each vector, and the means of the vectors of each centre."""
+    steps = ["c0 as (select k, list_transform(range(0, 64), lambda j: ((k * 5 + j * 3) % 7 - 3) / 20.0::double) as c from range(4) t(k))"]
+    for i in range(rounds + 1):
+        steps.append(f"a{i} as materialized (select vec_id, any_value(x) as x, arg_min(k, {_APART}) as k, min({_APART}) as d from v6, c{i} group by vec_id)")
+        if i < rounds:
+            steps.append(
+                f"m{i} as (select k, list(v order by j) as c from (select k, j, avg(v) as v from (select k, unnest(x) as v, generate_subscripts(x, 1) as j from a{i}) group by k, j) group by k), "
+                f"c{i + 1} as materialized (select c.k, coalesce(m.c, c.c) as c from c{i} c left join m{i} m on c.k = m.k)"
+            )
+    return ", ".join(steps)
+
+
+@query("kmeans_rounds", with_views("v6", f"""
+    with {_lloyd_sql(2)}, s as (select k, count(*) as n, sum(d) as cost from a2 group by k)
+    select cast(c.k as int) as cluster, cast(j - 1 as int) as position, round(c[j], 8) as value, coalesce(n, 0) as n, round(coalesce(cost, 0), 6) as cost,
+        round((select sum(d) from a0), 6) as cost_before from c2 c left join s on s.k = c.k, range(1, 65) t(j)"""))
+def kmeans_rounds(spark, sf_dir):
+    """Centres, sizes and costs after two rounds from given centres."""
+    found = clusters.lloyd(views.vectors(spark, sf_dir), "x", np.array(_CENTRES), rounds=2)
+    rows = found.table(spark).select("cluster", F.posexplode("centre").alias("position", "value"), "n", r6("cost").alias("cost"))
+    return rows.withColumns({"value": F.round("value", 8), "cost_before": F.round(F.lit(found.history[0]), 6)})
+
+
+# ---- split search ------------------------------------------------------------------------------------
+
+_SPLIT_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+_BINS = 16
+
+
+def _levels_sql(label: str, sums: dict[str, str], impurity: Callable[[list[str]], str], rows: Callable[[list[str]], str]) -> str:
+    """The best split of the root, then of both children: every bound of every feature is tried.
+
+    ``sums`` are aggregates with a place for a filter; ``impurity`` (times rows) and ``rows`` are written in terms of their names.
+    """
+    names = list(sums)
+    l, r = ([side + n for n in names] for side in "lr")
+    totals = ", ".join(f"cast({f.format('true')} as double) as {n}" for n, f in sums.items())
+    left = ", ".join(f"cast({f.format('v <= t')} as double) as l{n}" for n, f in sums.items())
+    both = ", ".join(f"coalesce(l{n}, 0) as l{n}, {n} - coalesce(l{n}, 0) as r{n}" for n in names)
+    pick = lambda f: f"case {f} {' '.join(f'when {k} then {c}' for k, c in enumerate(_SPLIT_FEATURES))} end"
+    ends = " union all ".join(f"select {k} as f, min({c}) as lo, max({c}) as hi from lineitem" for k, c in enumerate(_SPLIT_FEATURES))
+
+    def level(i: int) -> str:
+        return f"""e{i} as (select node, y, f, {pick('f')} as v from r{i}, range({len(_SPLIT_FEATURES)}) q(f)),
+    w{i} as (select node, {totals} from r{i} group by node),
+    t{i} as (select node, e.f, t, {left} from e{i} e join bounds on e.f = bounds.f group by node, e.f, t),
+    z{i} as (select node, f, t, {', '.join(names)}, {both} from t{i} join w{i} using (node)),
+    g{i} as (select node, f, t, {rows(names)} as total, {rows(l)} as below, ({impurity(names)} - {impurity(l)} - {impurity(r)}) / ({rows(names)}) as gain
+        from z{i} where {rows(l)} > 0 and {rows(r)} > 0),
+    b{i} as (select cast({i} as int) as level, cast(node as bigint) as node, cast(f as int) as feature, t as threshold, gain, cast(total as bigint) as n, cast(below as bigint) as left_n
+        from g{i} where gain > 1e-12 qualify row_number() over (partition by node order by round(gain, 9) desc, f, t) = 1)"""
+
+    return f"""with r1 as (select 1 as node, {label} as y, {', '.join(_SPLIT_FEATURES)} from lineitem),
+    bounds as (select f, lo + (hi - lo) * b / {_BINS} as t from ({ends}), range(1, {_BINS}) q(b)), {level(1)},
+    r2 as (select 2 + case when {pick('b1.feature')} > b1.threshold then 1 else 0 end as node, y, {', '.join(_SPLIT_FEATURES)} from r1, b1), {level(2)}
+    select level, node, feature, round(threshold, 6) as threshold, round(gain, 6) as gain, n, left_n from (select * from b1 union all select * from b2)"""
+
+
+def _split_rows(spark, sf_dir, label):
+    return table(spark, sf_dir, "lineitem").select(label.alias("label"), F.array(*_SPLIT_FEATURES).alias("features"))
+
+
+def _two_levels(rows, classes):
+    bounds = splits.width_bounds(rows, "features", len(_SPLIT_FEATURES), _BINS)
+    found = splits.grow(rows, "label", "features", bounds, depth=2, classes=classes)
+    return found.select("level", "node", "feature", r6("threshold").alias("threshold"), r6("gain").alias("gain"), "n", "left_n")
+
+
+@query("tree_level", _levels_sql(
+    "case l_returnflag when 'A' then 0 when 'N' then 1 else 2 end", {f"s{c}": f"count(*) filter (where y = {c} and {{}})" for c in range(3)},
+    lambda s: f"(({' + '.join(s)}) - ({' + '.join(f'{c} * {c}' for c in s)}) / ({' + '.join(s)}))", lambda s: f"({' + '.join(s)})",
+))
+def tree_level(spark, sf_dir):
+    """The first two levels' splits for three classes."""
+    flag = F.col("l_returnflag")
+    return _two_levels(_split_rows(spark, sf_dir, F.when(flag == "A", 0).when(flag == "N", 1).otherwise(2)), 3)
+
+
+@query("tree_level_reg", _levels_sql(
+    "l_linenumber + l_quantity", {"n": "count(*) filter (where {})", "s": "sum(y) filter (where {})", "q": "sum(y * y) filter (where {})"},
+    lambda s: f"({s[2]} - {s[1]} * {s[1]} / {s[0]})", lambda s: s[0],
+))
+def tree_level_reg(spark, sf_dir):
+    """The same for a number, by variance."""
+    return _two_levels(_split_rows(spark, sf_dir, F.col("l_linenumber") + F.col("l_quantity")), None)
+
+
 # ---- trained models -------------------------------------------------------------------------------
 
 
@@ -568,6 +660,19 @@ def nn_train(spark, sf_dir):
     return scored.agg(F.count(F.lit(1)).alias("n"), (F.min(F.col("prediction")[0]).between(0, 1) & F.lit(model.history[-1]["train"] < 0.5)).alias("good"))
 
 
+@query("net_roundtrip", "select vec_id, true as same from embeddings")
+def net_roundtrip(spark, sf_dir):
+    """Every prediction of a saved and loaded net is that of the net itself, and so is the loss."""
+    samples, path = _samples(spark, sf_dir), scratch_path(spark, "net")
+    cfg = neural.NetConfig((64, 4, 1), hidden="sigmoid", output="sigmoid", rate=0.5)
+    model = neural.net_train(samples, cfg, batch_rows=samples.count(), epochs=1)
+    model.save(spark, path)
+    again = neural.NetModel.load(spark, path, cfg)
+    equal = F.lit(model.loss(samples) == again.loss(samples))
+    both = again.predict(model.predict(samples, "before"), "after")
+    return both.select(F.col("id").alias("vec_id"), (equal & (F.col("before") == F.col("after"))).alias("same"))
+
+
 @query("nn_backprop", "select 3 as epochs, true as falling")
 def nn_backprop(spark, sf_dir):
     """A full-batch step never raises the loss at this rate."""
