@@ -17,7 +17,7 @@ from stayline.functions.scalars import share_limit
 from stayline.functions.strings import field, split_fields
 from stayline.operators import clusters, descent, factors, isotonic, metrics, models, neural, sampling, splits
 from stayline.operators.features import minmax_scale
-from stayline.plans import jobs
+from stayline.plans import jobs, oracle_nets
 from stayline.plans.continuity import GUID_CONTINUITY
 from stayline.plans.oracle_views import hash_number, with_views
 from stayline.plans.registry import query, r6
@@ -396,10 +396,29 @@ def ml_gbt(spark, sf_dir):
     return _graded(_train_and_score(spark, sf_dir, models.boosted_trees(rounds=20, depth=10)), _accurate(0.9))
 
 
-@query("ml_naive_bayes", _GRADED)
+# the columns as the trainers see them: tokens that stand for no number count as 0, large values are clamped
+_POINTS = "t as (select c_custkey as guid, case when cls = 'a' then 0.0::double else 1.0::double end as label, [" + ", ".join(
+    "case when spend_token <> '' then 0 else least(f2, 1e8) end" if c == "f2" else c for c in _NB
+) + f"]::double[] as f, {_TEST} as tested from v3)"
+
+
+def _bayes_sql() -> str:
+    low = "list_transform(f, lambda v: greatest(v, 0))"
+    return with_views("v3", f"""
+    with {_POINTS}, s as (select label, k, sum(v) as v from (select label, unnest({low}) as v, generate_subscripts(f, 1) as k from t where not tested) group by label, k),
+    n as (select label, count(*) as n from t where not tested group by label),
+    w as (select label, list(ln(v + 1.0) - ln(total + {len(_NB)}.0) order by k) as w from (select *, sum(v) over (partition by label) as total from s) group by label),
+    m as (select label, w, ln(n + 1.0) - ln(sum(n) over () + count(*) over ()) as p from w join n using (label)),
+    e as (select guid, t.label, m.label as class, p + list_inner_product({low}, w) as score from t, m where tested)
+    select guid, cast(any_value(label) as int) as label, round(max(score) filter (where class = 0), 3) as s0, round(max(score) filter (where class = 1), 3) as s1, arg_max(class, score) as prediction from e group by guid""")
+
+
+@query("ml_naive_bayes", _bayes_sql())
 def ml_naive_bayes(spark, sf_dir):
-    # the class does not follow from token frequencies; the exact scores are those of nb_sql
-    return _graded(_train_and_score(spark, sf_dir, models.naive_bayes(), nonnegative=True), _accurate(0.35))
+    """Log joints and predictions of the test rows."""
+    scored = _train_and_score(spark, sf_dir, models.naive_bayes(), nonnegative=True)
+    raw = vector_to_array("rawPrediction")
+    return scored.select("guid", F.col("label").cast("int").alias("label"), F.round(F.get(raw, F.lit(0)), 3).alias("s0"), F.round(F.get(raw, F.lit(1)), 3).alias("s1"), "prediction")
 
 
 @query("ml_svm", _GRADED)
@@ -442,9 +461,27 @@ def ml_logreg_history(spark, sf_dir):
     return moved.agg((F.max("up") <= 1e-9).alias("falling"), (F.count("up") > 1).alias("several"))
 
 
-@query("ml_linreg", _GRADED)
+def _linreg_sql() -> str:
+    """The normal equations of scaled columns, eliminated column by column."""
+    k = len(_NB)
+    scaled = "list_transform(range(1, {n}), lambda i: (f[i] - mean[i]) / dev[i])".format(n=k + 1)
+    steps = [f"e0 as materialized (select i, j, sum(z[i] * z[j]) as v from z, range(1, {k + 1}) a(i), range(1, {k + 2}) b(j) where not tested group by i, j)"]
+    for p in range(1, k + 1):
+        steps.append(f"""e{p} as materialized (select m.i, m.j, case when m.i = {p} then m.v / p.v else m.v - c.v * r.v / p.v end as v from e{p - 1} m
+        join e{p - 1} p on p.i = {p} and p.j = {p} join e{p - 1} c on c.i = m.i and c.j = {p} join e{p - 1} r on r.i = {p} and r.j = m.j)""")
+    return with_views("v3", f"""
+    with {_POINTS}, u as (select k, avg(v) as mean, stddev_samp(v) as dev from (select unnest(f) as v, generate_subscripts(f, 1) as k from t where not tested) group by k),
+    l as (select list(mean order by k) as mean, list(dev order by k) as dev, (select avg(label) from t where not tested) as middle from u),
+    z as materialized (select guid, label, tested, list_append({scaled}, label - middle) as z from t, l), {', '.join(steps)},
+    w as (select list(v order by i) as w from e{k} where j = {k + 1})
+    select guid, cast(label as int) as label, round(middle + list_inner_product(z[1:{k}], w), 5) as prediction from z, w, l where tested""")
+
+
+@query("ml_linreg", _linreg_sql())
 def ml_linreg(spark, sf_dir):
-    return _graded(_train_and_score(spark, sf_dir, models.linear_regression()), _close(1.2))
+    """Predictions of the test rows."""
+    scored = _train_and_score(spark, sf_dir, models.linear_regression())
+    return scored.select("guid", F.col("label").cast("int").alias("label"), F.round("prediction", 5).alias("prediction"))
 
 
 @query("ml_tree_reg", _GRADED)
@@ -673,27 +710,72 @@ def net_roundtrip(spark, sf_dir):
     return both.select(F.col("id").alias("vec_id"), (equal & (F.col("before") == F.col("after"))).alias("same"))
 
 
-@query("nn_backprop", "select 3 as epochs, true as falling")
+_NET_ROWS = "net as (select vec_id as id, list_prepend(1.0::double, x) as x, label / 10 as y from v6)"
+
+
+def _net_weights(spark, model):
+    """Weights and losses of a trained net as rows."""
+    losses = spark.createDataFrame([("loss", 0, h["epoch"], float(h["train"])) for h in model.history], neural.PARTIALS)
+    return model.weight_table(spark).unionByName(losses).select("kind", "i", "j", F.round("v", 8).alias("v"))
+
+
+@query("nn_backprop", with_views("v6", f"""
+    with {_NET_ROWS}, {', '.join(oracle_nets.two_layers('net', 64, 9, 3, 0.1))}
+    select 'w0' as kind, cast(k - 1 as int) as i, cast(j - 1 as int) as j, round(w0[k][j], 8) as v from n3, range(1, 10) p(k), range(1, 66) q(j)
+    union all select 'w1', 0, cast(j - 1 as int), round(w1[j], 8) from n3, range(1, 11) q(j)
+    union all {' union all '.join(f"select 'loss', 0, {i}, round(0.5 * avg(pow(y - o, 2)), 8) from o{i}" for i in (1, 2, 3))}"""))
 def nn_backprop(spark, sf_dir):
-    """A full-batch step never raises the loss at this rate."""
+    """All weights after three full-batch steps, and the loss after each."""
     samples = _samples(spark, sf_dir)
     # the stop rule is on the mean squared error, twice the half mean that the history holds
-    model = neural.net_train(samples, neural.backprop_preset(64), batch_rows=samples.count(), epochs=3, stop_loss=0.005)
-    losses = [h["train"] for h in model.history]
-    falling = all(b <= a for a, b in zip(losses, losses[1:]))
-    return spark.range(len(losses)).agg(F.count(F.lit(1)).cast("int").alias("epochs"), F.lit(falling).alias("falling"))
+    return _net_weights(spark, neural.net_train(samples, neural.backprop_preset(64), batch_rows=samples.count(), epochs=3, stop_loss=0.005))
 
 
-@query("rbm_train", "select kind, count(*) as n, true as finite from (select unnest(range(0, 256)), 'W' as kind union all select unnest(range(0, 64)), 'b' union all select unnest(range(0, 4)), 'c') group by kind")
+@query("nn_momentum", with_views("v6", f"""
+    with {_NET_ROWS}, {', '.join(oracle_nets.two_layers('net', 64, 6, 2, 0.5, 0.5, 0.9, 'scaled_tanh'))}
+    select id as vec_id, y as label, round(o, 8) as prediction from o2"""))
+def nn_momentum(spark, sf_dir):
+    """The predictions after two full-batch steps with momentum and a falling rate."""
+    samples = _samples(spark, sf_dir)
+    cfg = neural.NetConfig((64, 6, 1), hidden="scaled_tanh", output="sigmoid", rate=0.5, momentum=0.5, rate_decay=0.9)
+    scored = neural.net_train(samples, cfg, batch_rows=samples.count(), epochs=2).predict(samples)
+    return scored.select(F.col("id").alias("vec_id"), F.col("label")[0].alias("label"), F.round(F.col("prediction")[0], 8).alias("prediction"))
+
+
+def _machine_rows(spark, machines):
+    tables = [neural.weights_to_table(spark, {"W": m.W, "b": m.b[None, :], "c": m.c[None, :]}).withColumn("layer", F.lit(n)) for n, m in enumerate(machines)]
+    rows = tables[0]
+    for more in tables[1:]:
+        rows = rows.unionByName(more)
+    return rows.select("layer", "kind", "i", "j", F.round("v", 8).alias("v"))
+
+
+_MACHINE_ROWS = "input as (select vec_id as id, x from v6)"
+_MACHINE_TYPES = "cast(layer as int) as layer, kind, cast(i as int) as i, cast(j as int) as j, round(v, 8) as v"
+
+
+@query("rbm_train", with_views("v6", f"""
+    with {_MACHINE_ROWS}, {', '.join(oracle_nets.boltzmann('rbm', 'input', 64, 4, 2, 0, 0.1, 0.5))}
+    select {_MACHINE_TYPES} from ({oracle_nets.listed('rbm_2', 64, 4)})"""))
 def rbm_train(spark, sf_dir):
+    """All weights after two steps of contrastive divergence; the draws are repeated in SQL."""
     samples = _samples(spark, sf_dir)
-    rbm = neural.rbm_train(samples, hidden=4, batch_rows=max(1, samples.count() // 2), epochs=2, momentum=0.1, alpha=0.5)
-    weights = neural.weights_to_table(spark, {"W": rbm.W, "b": rbm.b[None, :], "c": rbm.c[None, :]})
-    return weights.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), (F.max(F.abs("v")) < 100).alias("finite"))
+    return _machine_rows(spark, [neural.rbm_train(samples, hidden=4, batch_rows=samples.count(), epochs=2, momentum=0.1, alpha=0.5)])
 
 
-@query("dbn_train", "select count(*) as n, true as good from embeddings")
+@query("dbn_train", with_views("v6", f"""
+    with {_MACHINE_ROWS}, {', '.join(oracle_nets.boltzmann('low', 'input', 64, 5, 2, 0, 0.1, 0.5))}, {oracle_nets.above('middle', 'low_2', 'input', 5)},
+    {', '.join(oracle_nets.boltzmann('high', 'middle', 5, 3, 2, 1, 0.1, 0.5))}
+    select {_MACHINE_TYPES} from ({oracle_nets.listed('low_2', 64, 5)} union all {oracle_nets.listed('high_2', 5, 3, 1)})"""))
 def dbn_train(spark, sf_dir):
+    """All weights of two stacked machines."""
+    samples = _samples(spark, sf_dir)
+    return _machine_rows(spark, neural.dbn_train(samples, [5, 3], batch_rows=samples.count(), epochs=2, momentum=0.1, alpha=0.5))
+
+
+@query("dbn_net", "select count(*) as n, true as good from embeddings")
+def dbn_net(spark, sf_dir):
+    """A net that starts from stacked machines: every row is scored inside the output's range."""
     samples = _samples(spark, sf_dir)
     rows = samples.count()
     layers = neural.dbn_train(samples, [8, 4], batch_rows=rows, epochs=2, momentum=0.1, alpha=0.5)
