@@ -82,12 +82,12 @@ def encode(df: DataFrame, preset: str | Encoding, parts: str = "parts", keep: li
     )
 
 
-def encode_lines(lines: DataFrame, preset: str | Encoding, key: bool = False, drop_last: bool = False) -> DataFrame:
-    """Tab-separated ``value`` lines; with ``key`` the first field is kept as ``guid`` and not decoded."""
-    parts = split_fields("value")
-    df = lines.select(parts.alias("_p"))
+def encode_lines(lines: DataFrame, preset: str | Encoding, key: bool = False, drop_last: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """Tab-separated ``value`` lines; with ``key`` the first field is kept as ``guid`` and not decoded. ``keep`` names other columns to keep."""
+    keep = keep or []
+    df = lines.select(split_fields("value").alias("_p"), *keep)
     head, tail = (1 if key else 0), (1 if drop_last else 0)
-    columns = [drop_ends("_p", head, tail).alias("parts")]
+    columns = [drop_ends("_p", head, tail).alias("parts"), *keep]
     if key:
         columns.append(F.get("_p", F.lit(0)).alias("guid"))
-    return encode(df.select(*columns), preset, keep=["guid"] if key else [])
+    return encode(df.select(*columns), preset, keep=(["guid"] if key else []) + keep)

@@ -135,11 +135,17 @@ def continuity_by_show(views: DataFrame, guid: str = "guid", show: str = "showna
 
 def continuity_by_guid(views: DataFrame, guid: str = "guid", show: str = "showname", title: str = "title") -> DataFrame:
     """Plain mean of the show scores, and the number of shows."""
-    return (
-        continuity_by_show(views, guid, show, title)
-        .groupBy(guid)
-        .agg(F.avg("continuity").alias("continuity"), F.count(F.lit(1)).alias("shows"))
-    )
+    return _mean_score(continuity_by_show(views, guid, show, title), guid)
+
+
+def continuity_by_title(views: DataFrame, guid: str = "guid", title: str = "title", names: str = HAN_RUNS) -> DataFrame:
+    """The same with shows read from the titles' name runs."""
+    stats = episode_order_stats_by_name(views, guid, title, names)
+    return _mean_score(stats.select(guid, continuity_score("n", "max_2", "min_2").alias("continuity")), guid)
+
+
+def _mean_score(scores: DataFrame, guid: str) -> DataFrame:
+    return scores.groupBy(guid).agg(F.avg("continuity").alias("continuity"), F.count(F.lit(1)).alias("shows"))
 
 
 def _counted_titles(titles: DataFrame, title: str) -> DataFrame:

@@ -58,10 +58,6 @@ def train_frame(base_lines: DataFrame, continuity: DataFrame, keep_zero: bool =
 
 
 def train_points(frame: DataFrame, preset: str = "churn") -> DataFrame:
-    """guid, cls, label, features (with the score last), n_bad from a training frame."""
-    parts = split_fields("value")
-    lines = frame.select(
-        F.concat_ws("\t", F.slice(parts, 1, F.size(parts) - 1), F.col("continuity").cast("string")).alias("value")
-    )
-    points = encode_lines(lines, preset, key=True)
-    return points
+    """guid, continuity, label, features (with the score last), n_bad from a training frame; the line's last field isn't a feature."""
+    points = encode_lines(frame, preset, key=True, drop_last=True, keep=["continuity"])
+    return points.withColumn("features", F.array_append("features", F.col("continuity").cast("double")))

@@ -19,12 +19,13 @@ def as_vectors(df: DataFrame, features: str = "features", nonnegative: bool = Fa
     return df.withColumn(features, array_to_vector(x))
 
 
-def fit(estimator: Estimator, df: DataFrame, key: str, partitions: int = 8) -> Model:
-    """Fit on a cached frame dealt by hash of the row key into ``partitions``, each in key order.
+def fit(estimator: Estimator, df: DataFrame, key: str, partitions: int | None = None) -> Model:
+    """Fit on a cached frame dealt by hash of the row key into ``partitions`` (the session's shuffle partitions), each in key order.
 
     Trainers run a job per step and draw by partition, so the number is a parameter: neither the row count nor the
     file layout changes the model.
     """
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cached = df.repartition(partitions, key).sortWithinPartitions(key).persist()
     try:
         return estimator.fit(cached)

@@ -43,13 +43,15 @@ def episode_order_stats(spark, sf_dir):
     return episodes.episode_order_stats(views.view_log(spark, sf_dir))
 
 
-@query("episode_order_stats_title", with_views("v1", f"""
-    with nums as (select distinct guid, showname, case when n > 100 then 0 else n end as v from
+_TITLE = f"""with nums as (select distinct guid, showname, case when n > 100 then 0 else n end as v from
         (select guid, array_to_string(list_transform(list_filter(list_zip(string_split(run, ''), range(1, 100)),
                 lambda c: c[1] is not null and list_position(string_split(run, ''), c[1]) = c[2]), lambda c: c[1]), '') as showname,
             cast(unnest(regexp_extract_all(title_han, '[0-9]+')) as double) as n from
-            (select guid, title_han, unnest(regexp_extract_all(title_han, '[一-龥]+')) as run from v1))), {_GROUPS}, {_STATS}
-    select guid, showname, cast(n as int) as n, max, max_2, min, min_2 from stats"""))
+            (select guid, title_han, unnest(regexp_extract_all(title_han, '[一-龥]+')) as run from v1))), {_GROUPS}, {_STATS}"""
+TITLE_CONTINUITY = f"{_TITLE}, {_SCORES}, by_guid as (select guid, avg(continuity) as continuity, count(*) as shows from scores group by guid) "
+
+
+@query("episode_order_stats_title", with_views("v1", _TITLE + "select guid, showname, cast(n as int) as n, max, max_2, min, min_2 from stats"))
 def episode_order_stats_title(spark, sf_dir):
     return episodes.episode_order_stats_by_name(views.view_log(spark, sf_dir), title="title_han")
 

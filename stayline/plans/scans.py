@@ -291,3 +291,41 @@ def encode_labels_multi(spark, sf_dir):
     rows = _encoded(spark, sf_dir, "three_class")
     # infinity is kept by this layout; shown as -1 so that results stay comparable
     return rows.withColumn("x2", F.when(F.col("x2") == float("inf"), F.lit(-1.0)).otherwise(F.col("x2")))
+
+
+def _preset_sql(preset: str, label: str, special: str, numbers: str, bad: str) -> str:
+    """``special`` is what f2 becomes when it is no number; ``numbers`` are the columns of the features."""
+    first = f"case spend_token when '' then f2 {special} end"
+    names = numbers.split()
+    cells = [first if c == "f2" else "greatest(f7, 0.0)" if c == "f7+" else c for c in names]
+    columns = ", ".join(f"cast({cells[i] if i < len(cells) else 'null'} as double) as x{i + 1}" for i in range(8))
+    return f"select '{preset}' as preset, c_custkey as guid, cast({label} as double) as label, {columns}, cast({bad} as int) as n_bad from v3"
+
+
+_C_BAD, _NULL_BAD = "case when cls = 'c' then 1 else 0 end", "case when spend_token = 'NULL' then 1 else 0 end"
+_B_ONLY = "case cls when 'b' then 1 when 'a' then 0 end"
+_RAW = "when 'NaN' then -2 when 'Infinity' then -1"  # shown so that results stay comparable
+_ALL = "f1 f2 f3 f4 f5 f6 f7 f8"
+
+
+@query("encode_labels_presets", with_views("v3", " union all ".join([
+    _preset_sql("churn_b", _B_ONLY, "else 0", _ALL, _C_BAD),
+    _preset_sql("unlabelled_c", "null", "when 'NaN' then 0 when 'Infinity' then 0", _ALL, _NULL_BAD),
+    _preset_sql("keyed_b", "f1", _RAW, "f2 f3 f4 f5 f6 f7 f8", _NULL_BAD),
+    _preset_sql("regression", "f8", _RAW, "f2 f3 f4 f5 f6 f7", _NULL_BAD),
+    _preset_sql("bayes", _B_ONLY, "when 'Infinity' then -1 else 0", _ALL.replace("f7", "f7+"), _C_BAD),
+    _preset_sql("three_class_abc", "case cls when 'a' then 1 when 'b' then 2 else 3 end", "when 'Infinity' then -1 else 0", _ALL, "0"),
+    _preset_sql("svm_binary", _B_ONLY, "when 'Infinity' then -1 else 0", _ALL.replace("f7", "f7+"), _C_BAD),
+])))
+def encode_labels_presets(spark, sf_dir):
+    """The other layouts, each with its name."""
+    lines, rows = views.base_feature_lines(spark, sf_dir), None
+    shown = lambda x: F.when(F.isnan(x), -2.0).when(x == float("inf"), -1.0).otherwise(x)
+    for preset in ("churn_b", "unlabelled_c", "keyed_b", "regression", "bayes", "three_class_abc", "svm_binary"):
+        points = encode_lines(lines, preset, key=True, drop_last=True)
+        part = points.select(
+            F.lit(preset).alias("preset"), F.col("guid").cast("bigint").alias("guid"), "label",
+            *[shown(F.get("features", F.lit(i))).alias(f"x{i + 1}") for i in range(8)], "n_bad",
+        )
+        rows = part if rows is None else rows.unionByName(part)
+    return rows

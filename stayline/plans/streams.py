@@ -42,8 +42,14 @@ def stream_word_count(spark, sf_dir):
 
 
 @query("stream_top_pages", with_views("clicks", """
-    select 0 as batch, page, pos, vid, title, count(*) as pv, count(distinct user_id) as uv from clicks group by page, pos, vid, title
-    order by pv desc, uv desc, page, pos, vid, title limit 10"""))
+    select cast(event_id % 4 as int) as batch, page, pos, vid, title, count(*) as pv, count(distinct user_id) as uv from clicks group by 1, 2, 3, 4, 5
+    qualify row_number() over (partition by batch order by count(*) desc, count(distinct user_id) desc, page, pos, vid, title) <= 10"""))
 def stream_top_pages(spark, sf_dir):
-    clicks = views.page_clicks(table_stream(spark, sf_dir, "events"))
-    return counts.batch_top_pages(clicks).select("batch", "page", "pos", "vid", "title", "pv", "uv")
+    """A quarter of the clicks arrives before each of four runs with one state: four batches, each with its own top pages."""
+    events, path = table(spark, sf_dir, "events"), scratch_path(spark, "top-pages")
+    folder, state = f"{path}-in", f"{path}-state"
+    for quarter in range(4):
+        events.where(F.col("event_id") % 4 == quarter).write.mode("append").parquet(folder)
+        clicks = views.page_clicks(spark.readStream.schema(events.schema).parquet(folder))
+        tops = counts.batch_top_pages(clicks, path=path, checkpoint=state)
+    return tops.select("batch", "page", "pos", "vid", "title", "pv", "uv")

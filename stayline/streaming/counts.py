@@ -89,7 +89,7 @@ def top_pages(rows: DataFrame, n: int = 10, user: str = "user_id") -> DataFrame:
     return page_and_user_views(rows, PAGE_KEYS, user).orderBy(F.desc("pv"), F.desc("uv"), *PAGE_KEYS).limit(n)
 
 
-def batch_top_pages(clicks: DataFrame, n: int = 10, path: str | None = None) -> DataFrame:
-    """The top pages of every micro-batch, with its batch id."""
+def batch_top_pages(clicks: DataFrame, n: int = 10, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """The top pages of every micro-batch, with its batch id; runs that share a path and a checkpoint go on numbering."""
     path = path or scratch_path(clicks.sparkSession, "top-pages")
-    return run_each_batch(clicks, lambda rows: top_pages(rows, n), path)
+    return run_each_batch(clicks, lambda rows: top_pages(rows, n), path, checkpoint)
