@@ -5,9 +5,11 @@ ignored positions. The windows of test items are hashed under all masks and kept
 document are hashed the same way and joined to the index inside the task that reads the document. Every hit fixes how item and
 document line up, and around it the aligned words are compared. A document is contaminated by an item if any run of them has
 ``least`` words (or the whole of a shorter item) of which ``alike`` agree. The overlap is the best-scoring run (a match counts 1,
-a mismatch -2) or, where that run is too short or agrees too little, the run that exceeds ``alike`` by most words. The masks hit
-every item of 13 to 20 words with one or two words replaced. An item that no mask hits is not seen: of 13 words with 3 replaced
-13 % of the cases, of 16 with 4 replaced 7 %, of 20 with 5 replaced 2 %.
+a mismatch -2) or, where that run is too short or agrees too little, the run that exceeds ``alike`` by most words.
+
+No overlap is lost: every way in which the words of a run may disagree leaves room for one of the masks. A run of 26 words or
+more holds a shorter one that agrees enough, so runs of 13 to 25 words decide, and ``MASKS`` fit all of them. Items of fewer words
+must be met whole and have masks of their own length, found by ``covering``; so have rules looser than three quarters of 13 words.
 
 The index is sent to the tasks in slices of at most ``slice_bytes`` of item text (or one longer item). A benchmark of one slice
 is one pass, in which documents are neither shuffled nor gathered. With more slices the documents are written once with a row
@@ -15,16 +17,16 @@ number, each slice is a job of its own that writes its hits and then drops its i
 their number. So the driver holds one slice and one index, beside a partition of the benchmark on its way through, and a
 worker one index.
 
-Words are runs of ASCII letters, digits and characters beyond ASCII, in lower case. Items with fewer words than the shortest
-mask are looked for whole. Nulls: null and empty texts, and items without words, match nothing; item ids may be null. Items
+Words are runs of ASCII letters, digits and characters beyond ASCII, in lower case. Nulls: null and empty texts, and items without words, match nothing; item ids may be null. Items
 with equal texts each match; repeated rows come back repeated. An empty table gives no rows. All columns of the documents are kept.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from functools import reduce
-from itertools import chain
+from functools import lru_cache, reduce
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,10 @@ from pyspark.sql import functions as F
 from stayline.llm import words
 from stayline.llm.scratch import stage
 
-MASKS = ("110110011", "1011001101", "11100101001", "10101011001")
+LEAST, ALIKE = 13, 0.75
+MASKS = ("1110111", "111101001", "100101111", "110010001011", "1110000111", "101000100111")
+# seeds, or words of alignments, that are compared at once
+HELD = 1 << 20
 _HIT = pa.struct([(n, pa.int64()) for n in ("item_id", "matched_words", "overlap_words", "item_words", "first_word")])
 
 _HITS = f"array<struct<{', '.join(f'{f.name}: long' for f in _HIT)}>>"
@@ -61,23 +66,69 @@ def folded_words(text: bytes) -> np.ndarray:
     return words.hashes(text if text.isascii() else text.decode().lower().encode(), words.PLAIN)
 
 
-def build_index(items: list[tuple[int | None, str | None]]) -> dict:
+def disagreements(n: int, alike: float, least: int) -> np.ndarray:
+    """Bit sets of the words that may disagree in a run of n, at most; runs that hold a shorter one of ``least`` words or more are left out."""
+    most = lambda k: k - math.ceil(alike * k - 1e-9)
+    sets = np.array([sum(1 << i for i in c) for c in combinations(range(n), most(n))], np.int64)
+    for k in range(least, n):
+        for at in range(n - k + 1):
+            sets = sets[np.bitwise_count((sets >> at) & ((1 << k) - 1)) > most(k)]
+    return sets
+
+
+def fits(mask: str, sets: np.ndarray, n: int) -> np.ndarray:
+    """Which disagreements leave room for a mask somewhere in a run of n words."""
+    bits, free = sum(1 << i for i in positions(mask)), np.zeros(len(sets), bool)
+    for at in range(n - len(mask) + 1):
+        free |= (sets & (bits << at)) == 0
+    return free
+
+
+@lru_cache(256)
+def covering(shortest: int, longest: int, alike: float, most: int = 6) -> tuple[str, ...]:
+    """Masks of which one fits, however the words of a run of ``shortest`` to ``longest`` words disagree.
+
+    Of the largest weight (six at most) for which choosing the mask that fits most of what is left ends with ``most`` masks.
+    """
+    runs = {n: disagreements(n, alike, shortest) for n in range(shortest, longest + 1)}
+    for weight in range(6, 0, -1):
+        shapes = [
+            "".join("1" if i in (0, span - 1, *inner) else "0" for i in range(span))
+            for span in range(weight, min(shortest, 12) + 1) for inner in combinations(range(1, span - 1), max(weight - 2, 0)) if weight > 1 or span == 1
+        ]
+        left, chosen = runs, []
+        while any(len(v) for v in left.values()) and len(chosen) < most and shapes:
+            mask = max(shapes, key=lambda m: sum(int(fits(m, v, n).sum()) for n, v in left.items()))
+            chosen.append(mask)
+            left = {n: v[~fits(mask, v, n)] for n, v in left.items()}
+        if chosen and not any(len(v) for v in left.values()):
+            return tuple(chosen)
+    return ("1",)
+
+
+def masks_for(n: int, least: int = LEAST, alike: float = ALIKE) -> tuple[str, ...]:
+    """The masks that find every overlap with an item of n words."""
+    if n < least:
+        return covering(n, n, alike)
+    return MASKS if least >= LEAST and alike >= ALIKE else covering(least, 2 * least - 1, alike)
+
+
+def build_index(items: list[tuple[int | None, str | None]], least: int = LEAST, alike: float = ALIKE) -> dict:
     """The items of a slice: ids, words, and for each mask the sorted window hashes with item and place."""
     hashed = [(i, folded_words((t or "").encode())) for i, t in items]
     hashed = [(i, h) for i, h in hashed if len(h)]
-    shortest = min(len(m) for m in MASKS)
-    short = ["1" * n for n in sorted({len(h) for _, h in hashed if len(h) < shortest})]
+    of: dict[str, list[int]] = {}
+    for k, (_, h) in enumerate(hashed):
+        for mask in masks_for(len(h), least, alike):
+            of.setdefault(mask, []).append(k)
     tables = []
-    for mask in (*MASKS, *short):
-        own = [
-            (seeds(h, mask), k) for k, (_, h) in enumerate(hashed)
-            if (len(h) >= shortest if mask in MASKS else len(h) == len(mask))
-        ]
-        values = np.concatenate([s for s, _ in own]) if own else np.empty(0, np.uint64)
+    for mask, own in of.items():
+        found = [seeds(hashed[k][1], mask) for k in own]
+        values = np.concatenate(found)
         if not len(values):
             continue
-        item = np.concatenate([np.full(len(s), k) for s, k in own])
-        place = np.concatenate([np.arange(len(s)) for s, _ in own])
+        item = np.concatenate([np.full(len(s), k) for s, k in zip(found, own)])
+        place = np.concatenate([np.arange(len(s)) for s in found])
         order = np.argsort(values, kind="stable")
         # most windows of a document fall out at this small table of hash prefixes
         seen = np.zeros(1 << 20, bool)
@@ -86,36 +137,53 @@ def build_index(items: list[tuple[int | None, str | None]]) -> dict:
     return {"ids": [i for i, _ in hashed], "words": [h for _, h in hashed], "tables": tables}
 
 
-def hits(index: dict, hashed: np.ndarray) -> set[tuple[int, int]]:
-    """Items and where in the document their first word would stand, for every seed in common."""
-    found = set()
+def hits(index: dict, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items and where in the document their first word would stand, for every seed in common: distinct, in order."""
+    found = [np.empty(0, np.int64)]
     for mask, seen, values, item, place in index["tables"]:
         own = seeds(hashed, mask)
         at = np.flatnonzero(seen[own >> np.uint64(44)])
-        if not len(at):
-            continue
-        low, high = np.searchsorted(values, own[at], "left"), np.searchsorted(values, own[at], "right")
-        for p, a, b in zip(at[low < high].tolist(), low[low < high].tolist(), high[low < high].tolist()):
-            found.update(zip(item[a:b].tolist(), (p - place[a:b]).tolist()))
-    return found
+        low = np.searchsorted(values, own[at], "left")
+        n = np.searchsorted(values, own[at], "right") - low
+        # each seed of the document beside all equal ones of the index, a bounded number at once
+        for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(np.cumsum(n) // HELD)) + 1):
+            counts = n[part]
+            entry = np.repeat(low[part] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            # one number for item and place
+            found.append(np.unique((item[entry] << 40) + (np.repeat(at[part], counts) - place[entry] + (1 << 39))))
+    pairs = np.unique(np.concatenate(found))
+    return pairs >> 40, (pairs & ((1 << 40) - 1)) - (1 << 39)
 
 
 def overlaps(index: dict, text: bytes, least: int, alike: float) -> list[dict]:
-    """The best overlap with each item that contaminates a text."""
-    hashed = folded_words(text)
-    best: dict[int, tuple[int, int, int]] = {}
-    for k, shift in hits(index, hashed):
-        item = index["words"][k]
-        first, last = max(0, -shift), min(len(item), len(hashed) - shift)
-        same = item[first:last] == hashed[shift + first : shift + last]
-        run = overlap(same, min(least, len(item)), alike)
-        if run:
-            start, end = run
-            best[k] = max(best.get(k, (0, 0, 0)), (int(same[start:end].sum()), start - end, -(shift + first + start)))
-    return [
-        {"item_id": index["ids"][k], "matched_words": m, "overlap_words": -n, "item_words": len(index["words"][k]), "first_word": -p}
-        for k, (m, n, p) in sorted(best.items())
-    ]
+    """The best overlap with each item that contaminates a text: most words agree, then the shorter run, then the earlier."""
+    hashed, out = folded_words(text), []
+    of, shifts = hits(index, hashed)
+    for k in np.unique(of).tolist():
+        item, best = index["words"][k], None
+        own, need = shifts[of == k], min(least, len(item))
+        # alignments that agree in most words come first; the rest is not looked at once it can't be better
+        totals = np.concatenate([_aligned(item, hashed, part).sum(axis=1) for part in np.array_split(own, -(-len(own) * len(item) // HELD))])
+        order = np.lexsort((own, -totals))
+        for total, shift in zip(totals[order].tolist(), own[order].tolist()):
+            if total < alike * need or best and (total < best[0] or total == best[0] == -best[1]):
+                break
+            first, last = max(0, -shift), min(len(item), len(hashed) - shift)
+            same = item[first:last] == hashed[shift + first : shift + last]
+            run = overlap(same, need, alike)
+            if run:
+                start, end = run
+                new = (int(same[start:end].sum()), start - end, -(shift + first + start))
+                best = max(best, new) if best else new
+        if best:
+            out.append({"item_id": index["ids"][k], "matched_words": best[0], "overlap_words": -best[1], "item_words": len(item), "first_word": -best[2]})
+    return out
+
+
+def _aligned(item: np.ndarray, hashed: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+    """Which words of an item agree with the document, one row for each place of its first word."""
+    at = shifts[:, None] + np.arange(len(item))[None, :]
+    return (hashed[np.clip(at, 0, len(hashed) - 1)] == item[None, :]) & (at >= 0) & (at < len(hashed))
 
 
 def overlap(same: np.ndarray, least: int, alike: float) -> tuple[int, int] | None:
@@ -175,17 +243,17 @@ def _searcher(index: Broadcast, least: int, alike: float):
     return F.arrow_udf(search, _HITS).asNondeterministic()
 
 
-def with_hits(docs: DataFrame, benchmark: DataFrame, least: int = 13, alike: float = 0.75, slice_bytes: int = 8 << 20, column: str = "contamination") -> DataFrame:
+def with_hits(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, alike: float = ALIKE, slice_bytes: int = 8 << 20, column: str = "contamination") -> DataFrame:
     """All columns of ``docs`` and one more: an array of the items that each text overlaps, with the overlap."""
     sc, parts = docs.sparkSession.sparkContext, slices(benchmark, slice_bytes)
     search = lambda sent: _searcher(sent, least, alike)(F.col("text").cast("string"))
     first, second = next(parts), next(parts, None)
     if second is None:
-        return docs.withColumn(column, search(sc.broadcast(build_index(first))))
+        return docs.withColumn(column, search(sc.broadcast(build_index(first, least, alike))))
     held = stage(docs.withColumn("llm_row", F.monotonically_increasing_id()), "decontaminate-rows")
     tables = []
     for n, part in enumerate(chain((first, second), parts)):
-        sent = sc.broadcast(build_index(part))
+        sent = sc.broadcast(build_index(part, least, alike))
         found = held.select(F.col("llm_row").alias("llm_of"), F.lit(n).alias("slice"), search(sent).alias("hits")).filter("size(hits) > 0")
         tables.append(stage(found, "decontaminate-hits"))
         sent.destroy()

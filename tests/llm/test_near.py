@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from itertools import combinations
 
 import numpy as np
@@ -166,15 +167,61 @@ def test_masks_ignore_positions():
         assert len(decontaminate.positions(mask)) == 6
 
 
-def test_every_single_and_double_substitution_is_found():
-    for n in range(13, 21):
+def test_every_substitution_that_the_rule_allows_is_found():
+    """Items of 4 to 20 words: every set of words that may be replaced, up to a quarter of them."""
+    for n in range(1, 21):
         item = [f"a{i}" for i in range(n)]
         index = decontaminate.build_index([(7, " ".join(item))])
-        for gone in [*combinations(range(n), 1), *combinations(range(n), 2)]:
-            text = ["before"] * 20 + ["x" if i in gone else w for i, w in enumerate(item)] + ["after"] * 20
-            got = decontaminate.overlaps(index, " ".join(text).encode(), 13, 0.75)
-            assert [h["item_id"] for h in got] == [7], (n, gone)
-            assert got[0]["overlap_words"] >= 13 and got[0]["matched_words"] >= 0.75 * got[0]["overlap_words"]
+        for k in range(n // 4 + 1):
+            for gone in combinations(range(n), k):
+                text = ["before"] * 3 + ["x" if i in gone else w for i, w in enumerate(item)] + ["after"] * 3
+                got = decontaminate.overlaps(index, " ".join(text).encode(), 13, 0.75)
+                assert [h["item_id"] for h in got] == [7], (n, gone)
+                assert got[0]["overlap_words"] >= min(n, 13) and got[0]["matched_words"] >= 0.75 * got[0]["overlap_words"]
+
+
+def test_masks_fit_all_runs_that_decide():
+    for n in range(13, 26):
+        sets = decontaminate.disagreements(n, 0.75, 13)
+        assert len(sets) == 0 or np.logical_or.reduce([decontaminate.fits(m, sets, n) for m in decontaminate.MASKS]).all()
+    # other rules have masks of their own
+    for least, alike in ((5, 0.75), (8, 0.6), (10, 0.9), (4, 0.5)):
+        masks = decontaminate.masks_for(99, least, alike)
+        for n in range(least, 2 * least):
+            sets = decontaminate.disagreements(n, alike, least)
+            assert len(sets) == 0 or np.logical_or.reduce([decontaminate.fits(m, sets, n) for m in masks]).all()
+
+
+def test_pairs_are_those_of_brute_force():
+    """All alignments of random texts over few words, for items of any length and several rules."""
+    draw = random.Random(9)
+    for least, alike in ((13, 0.75), (6, 0.75), (13, 0.9)):
+        items = [(i, [draw.choice("abcdefgh") + str(draw.randint(0, 3)) for _ in range(draw.choice((1, 3, 4, 5, 7, 9, 12, 13, 15, 21, 30)))]) for i in range(25)]
+        index = decontaminate.build_index([(i, " ".join(ws)) for i, ws in items], least, alike)
+        for _ in range(60):
+            text = []
+            while len(text) < 70:
+                i, ws = draw.choice(items)
+                a = draw.randint(0, len(ws) - 1)
+                text += [w if draw.random() < 0.8 else "zz" for w in (ws if draw.random() < 0.5 else ws[a:])] + ["yy"] * draw.randint(0, 2)
+            want = set()
+            for i, ws in items:
+                need = min(least, len(ws))
+                for shift in range(-len(ws), len(text) + 1):
+                    same = [text[shift + k] == ws[k] for k in range(len(ws)) if 0 <= shift + k < len(text)]
+                    if any(sum(same[x:y]) >= alike * (y - x) - 1e-9 for x in range(len(same)) for y in range(x + need, len(same) + 1)):
+                        want.add(i)
+                        break
+            assert {h["item_id"] for h in decontaminate.overlaps(index, " ".join(text).encode(), least, alike)} == want
+
+
+def test_repeated_words_stay_cheap():
+    """Items and texts of one word over and over: all alignments are hits."""
+    index = decontaminate.build_index([(i, "same " * (40 + i)) for i in range(5)])
+    start = time.process_time()
+    got = decontaminate.overlaps(index, b"same " * 20_000, 13, 0.75)
+    assert [(h["item_id"], h["matched_words"], h["first_word"]) for h in got] == [(i, 40 + i, 0) for i in range(5)]
+    assert time.process_time() - start < 10
 
 
 def test_overlap_is_found_if_any_run_is_one():
