@@ -1,7 +1,7 @@
 """Full-batch gradient loops: linear, logistic, hinge and multinomial losses.
 
-Every step is one aggregate over the table: the current weights are literals of the plan, the loss and
-one sum per weight come back. Nothing but those sums reaches the driver.
+The columns are written to shared storage once; every step is one aggregate over them: the current weights are literals of
+the plan, the loss and one sum per weight come back. The source is scanned once, and nothing but those sums reaches the driver.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.functions.scalars import sigmoid
+from stayline.session import cut_lineage
 
 
 @dataclass
@@ -45,9 +46,14 @@ def _sums(df: DataFrame, columns: list[str], factor: Column, loss: Column) -> tu
     return [row[f"g{j}"] or 0.0 for j in range(len(columns))], row["loss"] or 0.0, row["n"]
 
 
+def _once(df: DataFrame, columns: list[str], label: str) -> DataFrame:
+    """The columns of the loop as numbers, so that no step runs the source again."""
+    return cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in dict.fromkeys([*columns, label])]))
+
+
 def linear(df: DataFrame, columns: list[str], label: str, steps: int, step: float, decay: bool = True, stop_loss: float | None = None) -> Fit:
     """w ← w - (step/√t)·mean((w·x - y)·x), started at 0; the loss is ½·mean(w·x - y)²."""
-    w, history = [0.0] * len(columns), []
+    df, w, history = _once(df, columns, label), [0.0] * len(columns), []
     for t in range(1, steps + 1):
         error = score(columns, w) - F.col(label)
         grads, loss, n = _sums(df, columns, error, error * error)
@@ -63,7 +69,7 @@ def linear(df: DataFrame, columns: list[str], label: str, steps: int, step: floa
 
 def logistic(df: DataFrame, columns: list[str], label: str, steps: int, rate: float) -> Fit:
     """w ← w + rate·mean((y - σ(w·x))·x); the loss is the mean log loss."""
-    w, history = [0.0] * len(columns), []
+    df, w, history = _once(df, columns, label), [0.0] * len(columns), []
     for _ in range(steps):
         z = score(columns, w)
         p, y = sigmoid(z), F.col(label)
@@ -78,7 +84,7 @@ def logistic(df: DataFrame, columns: list[str], label: str, steps: int, rate: fl
 
 def svm_l1(df: DataFrame, columns: list[str], label: str, steps: int = 200, step: float = 1.0, reg: float = 0.1) -> Fit:
     """Hinge subgradient with step/√t and a soft threshold by reg·step after each move; labels 0/1."""
-    w, history = [0.0] * len(columns), []
+    df, w, history = _once(df, columns, label), [0.0] * len(columns), []
     for t in range(1, steps + 1):
         sign = F.col(label) * 2.0 - 1.0
         margin = sign * score(columns, w)
