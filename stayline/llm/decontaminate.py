@@ -139,18 +139,29 @@ def build_index(items: list[tuple[int | None, str | None]], least: int = LEAST,
 
 def hits(index: dict, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Items and where in the document their first word would stand, for every seed in common: distinct, in order."""
-    found = [np.empty(0, np.int64)]
+    found = []
     for mask, seen, values, item, place in index["tables"]:
         own = seeds(hashed, mask)
         at = np.flatnonzero(seen[own >> np.uint64(44)])
+        if not len(at):
+            continue
         low = np.searchsorted(values, own[at], "left")
         n = np.searchsorted(values, own[at], "right") - low
+        real = n > 0
+        if not real.any():
+            continue
+        at, low, n = at[real], low[real], n[real]
+        ends = np.cumsum(n)
         # each seed of the document beside all equal ones of the index, a bounded number at once
-        for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(np.cumsum(n) // HELD)) + 1):
+        for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(ends // HELD)) + 1) if ends[-1] > HELD else (slice(None),):
             counts = n[part]
             entry = np.repeat(low[part] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
             # one number for item and place
-            found.append(np.unique((item[entry] << 40) + (np.repeat(at[part], counts) - place[entry] + (1 << 39))))
+            found.append((item[entry] << 40) + (np.repeat(at[part], counts) - place[entry] + (1 << 39)))
+            if len(entry) > HELD // 8:
+                found[-1] = np.unique(found[-1])
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     pairs = np.unique(np.concatenate(found))
     return pairs >> 40, (pairs & ((1 << 40) - 1)) - (1 << 39)
 
@@ -159,14 +170,18 @@ def overlaps(index: dict, text: bytes, least: int, alike: float) -> list[dict]:
     """The best overlap with each item that contaminates a text: most words agree, then the shorter run, then the earlier."""
     hashed, out = folded_words(text), []
     of, shifts = hits(index, hashed)
-    for k in np.unique(of).tolist():
-        item, best = index["words"][k], None
-        own, need = shifts[of == k], min(least, len(item))
+    edges = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)] if len(of) else [0]
+    for a, b in zip(edges, edges[1:]):
+        k, own, best = int(of[a]), shifts[a:b], None
+        item = index["words"][k]
+        need = min(least, len(item))
         # alignments that agree in most words come first; the rest is not looked at once it can't be better
-        totals = np.concatenate([_aligned(item, hashed, part).sum(axis=1) for part in np.array_split(own, -(-len(own) * len(item) // HELD))])
+        parts = -(-len(own) * len(item) // HELD)
+        totals = _agreeing(item, hashed, own) if parts == 1 else np.concatenate([_agreeing(item, hashed, p) for p in np.array_split(own, parts)])
+        own, totals = own[totals >= alike * need], totals[totals >= alike * need]
         order = np.lexsort((own, -totals))
         for total, shift in zip(totals[order].tolist(), own[order].tolist()):
-            if total < alike * need or best and (total < best[0] or total == best[0] == -best[1]):
+            if best and (total < best[0] or total == best[0] == -best[1]):
                 break
             first, last = max(0, -shift), min(len(item), len(hashed) - shift)
             same = item[first:last] == hashed[shift + first : shift + last]
@@ -180,10 +195,10 @@ def overlaps(index: dict, text: bytes, least: int, alike: float) -> list[dict]:
     return out
 
 
-def _aligned(item: np.ndarray, hashed: np.ndarray, shifts: np.ndarray) -> np.ndarray:
-    """Which words of an item agree with the document, one row for each place of its first word."""
-    at = shifts[:, None] + np.arange(len(item))[None, :]
-    return (hashed[np.clip(at, 0, len(hashed) - 1)] == item[None, :]) & (at >= 0) & (at < len(hashed))
+def _agreeing(item: np.ndarray, hashed: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+    """How many words of an item agree with the document, for each place of its first word."""
+    at = shifts[:, None] + np.arange(len(item))
+    return ((hashed[np.clip(at, 0, len(hashed) - 1)] == item) & (at >= 0) & (at < len(hashed))).sum(axis=1)
 
 
 def overlap(same: np.ndarray, least: int, alike: float) -> tuple[int, int] | None:
