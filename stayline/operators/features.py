@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions.encoding import encode_lines
-from stayline.functions.scalars import guarded_ratio
+from stayline.functions.scalars import guarded_ratio, hash_number
 from stayline.functions.strings import split_fields
 from stayline.operators.relational import left_join_fill
 
@@ -61,3 +61,12 @@ def train_points(frame: DataFrame, preset: str = "churn") -> DataFrame:
     """guid, continuity, label, features (with the score last), n_bad from a training frame; the line's last field isn't a feature."""
     points = encode_lines(frame, preset, key=True, drop_last=True, keep=["continuity"])
     return points.withColumn("features", F.array_append("features", F.col("continuity").cast("double")))
+
+
+def hashed_terms(df: DataFrame, key: str, words: str, width: int, seed: int | str = "tf") -> DataFrame:
+    """``key, bucket, n``: how often each of ``width`` buckets occurs among the words of a row, by a hash any engine can repeat.
+
+    The sparse rows of a document-term matrix; combined map-side, so a frequent bucket is one partial per row and task.
+    """
+    terms = df.select(key, F.explode(words).alias("term"))
+    return terms.groupBy(key, (hash_number("term", seed) % width).cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))

@@ -9,7 +9,7 @@ from stayline.functions.encoding import encode_lines
 from stayline.functions.strings import tokens
 from stayline.functions.vectors import append_bias
 from stayline.operators import features, matrix, tiles
-from stayline.plans.oracle_views import with_views
+from stayline.plans.oracle_views import hash_number, with_views
 from stayline.plans.registry import query, r6
 from stayline.sources import views
 from stayline.sources.tables import table
@@ -75,6 +75,20 @@ def hashing_tf(spark, sf_dir):
     return counted.select("doc_id", F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda a, v: a + v).alias("n_terms"))
 
 
+@query("hashed_terms", f"""
+    with t as (select doc_id, unnest(string_split_regex(regexp_replace(lower(text), '\\s+$', ''), '\\s')) as term from documents),
+    b as (select doc_id, cast({hash_number('term', 'tf')} % 4096 as int) as bucket, count(*) as n from t group by 1, 2)
+    select doc_id, count(*) as buckets, cast(sum(n) as bigint) as terms, cast(sum(n * bucket) as bigint) as weighted, max(n) as most, arg_max(bucket, n * 4096 + bucket) as top from b group by 1""")
+def hashed_terms(spark, sf_dir):
+    """Every bucket of every document enters: their number, counts, counts by bucket, and the fullest one."""
+    words = Tokenizer(inputCol="text", outputCol="words").transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cells = features.hashed_terms(words, "doc_id", "words", 4096)
+    return cells.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("buckets"), F.sum("n").alias("terms"), F.sum(F.col("n") * F.col("bucket")).alias("weighted"), F.max("n").alias("most"),
+        F.max_by("bucket", F.col("n") * 4096 + F.col("bucket")).alias("top"),
+    )
+
+
 @query("gram", with_views("v6", """
     select cast(i - 1 as int) as i, cast(j - 1 as int) as j, round(sum(x[i] * x[j]), 6) as v
     from v6, range(1, 65) a(i), range(1, 65) b(j) where i <= j group by 1, 2"""))
