@@ -193,8 +193,6 @@ def nb_sql(spark, sf_dir):
     points = encode_lines(lines, "churn", key=True, drop_last=True, keep=["cls"])
     label = F.when(F.col("cls") == "a", 0).when(F.col("cls") == "b", 1).otherwise(2).alias("label")
     rows = points.select(F.col("guid").cast("bigint").alias("guid"), label, *[F.greatest(F.get("features", F.lit(i)), F.lit(0.0)).alias(c) for i, c in enumerate(_NB)])
-    # decoded once; the sums and the scores read the numbers
-    rows = cut_lineage(rows)
     scored = models.naive_bayes_score(rows, models.naive_bayes_table(rows, "label", _NB), _NB)
     return scored.select("guid", "label", *[F.round(f"s{i}", 3).alias(f"s{i}") for i in range(3)], "prediction")
 
