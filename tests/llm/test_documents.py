@@ -88,6 +88,82 @@ def test_licences_against_all_places(spark):
     assert licences.scan(df.limit(0)).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A
+PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION
+OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation
+and/or other materials provided with the distribution.
+{}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF
+THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+THIRD = "3. Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice
+and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS."""
+
+
+def test_whole_licences_and_headers(spark):
+    comment = lambda t: "/*\n" + "\n".join(" * " + line for line in t.split("\n")) + "\n */ int main() {}"
+    texts = {
+        comment(MIT): "mit", BSD2.format(""): "bsd,bsd-2-clause", comment(BSD2.format(THIRD.format("the Lemur Works of Upper Fenwick"))): "bsd,bsd-2-clause,bsd-3-clause",
+        GNU.format("General Public", 2): "gpl,gpl-2.0", GNU.format("Affero General Public", 3): "agpl-3.0,gpl", GNU.format("Lesser General Public", "2.1"): "gpl,lgpl-2.1",
+        "# SPDX-License-Identifier: BSD-3-Clause\nx = 1": "bsd-3-clause", "// SPDX-License-Identifier: EPL-2.0": "epl-2.0", "SPDX license of an identifier: MIT": "",
+        "Distributed under the Boost Software License, Version 1.0.": "bsl-1.0", MIT.replace("free of charge", "for a fee"): "",
+        # a changed word is borne, a changed key phrase isn't, and pieces in the wrong order are no licence
+        BSD2.format("").replace("retain", "keep"): "bsd,bsd-2-clause", BSD2.format("").replace("CONSEQUENTIAL", "OTHER"): "bsd",
+        "\n".join(reversed(BSD2.format("").split("\n"))): "bsd", "x " * 30_000 + MIT + " y" * 30_000: "mit",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licences.digest(licences.scan(df)).collect()}
+    assert got == dict(enumerate(texts.values()))
+    assert {"isc"} == {m["label"] for m in licences.scan_words(licences.build_index([0] * len(licences.VOCABULARY), 9), licences.words.hashes(ISC, licences.words.PLAIN))}
+
+
+def test_licence_pieces_against_every_start():
+    """The index proposes what the rule, tried at every start of a file, proposes."""
+    import numpy as np
+
+    draw, rare, meet = random.Random(8), 3, 2
+    frequencies = [draw.randint(0, 50) for _ in licences.VOCABULARY]
+    index = licences.build_index(frequencies, 60, rare, meet)
+    idf = {w: np.log(61 / (1 + n)) + 1e-3 for w, n in zip(licences.VOCABULARY, frequencies)}
+    n_found = 0
+    for _ in range(20):
+        label, base, parts = draw.choice(licences.ALL)
+        text = [w for own, _ in parts for w in own] * draw.choice((1, 2)) + draw.choices(licences.VOCABULARY, k=draw.randint(0, 30))
+        for i in draw.sample(range(len(text)), len(text) // 12):
+            text[i] = draw.choice(("x", draw.choice(licences.VOCABULARY)))
+        hashed = licences.words.hashes(" ".join(text), licences.words.PLAIN)
+        at = {i: np.array([k for k, t in enumerate(text) if t == w]) for i, w in enumerate(licences.VOCABULARY) if w in text}
+        piece_no = 0
+        for _, is_base, own_pieces in licences.ALL:
+            for own, need in own_pieces:
+                piece, piece_no = index["pieces"][piece_no], piece_no + 1
+                ranked = sorted(set(own) & set(text), key=lambda w: (-idf[w], w))
+                looked = ranked if is_base else ranked[:rare]
+                least = len(set(own)) if is_base else min(meet, len(set(own)))
+                expected = []
+                for start in range(-len(own), len(text) + 1):
+                    same = [0 <= start + j < len(text) and text[start + j] == w for j, w in enumerate(own)]
+                    agreeing = {w for w, ok in zip(own, same) if ok and w in looked}
+                    weight = sum(idf[w] for w, ok in zip(own, same) if ok) / sum(idf[w] for w in own)
+                    if len(agreeing) >= max(1, least) and all(same[j] for j in need) and (all(same) or weight >= 0.7):
+                        expected.append(start)
+                got, _ = licences.piece_matches(index, piece, at, hashed)
+                assert got.tolist() == expected
+                n_found += len(expected)
+    assert n_found > 20
+
+
 def test_languages_of_held_out_rows(spark):
     """On the documents with labels left out of the training folds."""
     sf = "/root/testdata/sf0.01"
