@@ -1,12 +1,12 @@
 """Main text of web pages by a linear-chain conditional random field over DOM leaf blocks.
 
 A page is read into leaf blocks: stretches of text between block-level tags, with the open elements around them. Each block has
-features of its ancestors (tags; words of their class, id and role, and what kind of surroundings such words name) and of its text (length, link density, punctuation,
-place on the page, a few telling words). A two-state chain says which blocks are main text: block scores and transition scores are
+features of its ancestors (tags; words of their class, id and role, what kind of surroundings such words name, whether one is hidden), of its text (length, link density,
+punctuation, place on the page, a few telling words), of the element that groups it with others (words, links and sentences in all of them), and of its neighbours. A two-state chain says which blocks are main text: block scores and transition scores are
 learned together from labelled pages by maximising the likelihood of their label sequences, and decoded by Viterbi.
 
 Labelled pages are pairs of html and main text, a line per main block. ``labelled_pages`` writes a seeded set of them in
-many layouts (semantic tags, class names only, bare markup, articles with sidebars, notices, adverts, forms and comments).
+many layouts (semantic tags, class names only, names that tell nothing, tables, bare markup; articles with sidebars, notices, adverts, forms, comments and hidden text).
 
 Character references are decoded, white space inside a block becomes one space (``br`` counts as white space), blocks are
 trimmed, empty ones go, the rest stand in page order, one to a line. Scripts, styles, comments and the head never become blocks.
@@ -51,8 +51,14 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _SENTENCE = re.compile(r"[.!?…:;\"'”’)\]]$")
 TELLING = frozenset(
     "cookie cookies subscribe newsletter share comment comments reply login privacy sponsored advertisement copyright menu search terms register password "
-    "follow related policy rights reserved contact".split()
+    "follow related policy rights reserved contact home about leave tags archives popular recent sponsor faq sitemap sign advertise says wrote weather posted".split()
 )
+# how a list of remarks or a single one begins
+_REMARKS = re.compile(r"^(?:\d+ )?(?:reader )?(?:comments?|replies|responses)(?: ?\(\d+\))?:?$|^(?:leave|post|add|write) (?:a|your) (?:comment|reply)", re.I)
+_BYLINE = re.compile(r"\b(?:says|wrote|said):?$|\bposted (?:by|on)\b|\b(?:minutes?|hours?|days?|weeks?|months?) ago\b", re.I)
+_LEGAL = re.compile(r"©|\bcopyright\b|all rights reserved", re.I)
+# elements that group blocks: all but those that hold one paragraph, heading, item or row
+GROUPS = BLOCKS - frozenset("address blockquote caption center dd dt figcaption h1 h2 h3 h4 h5 h6 hr legend li option p pre summary tbody tfoot thead tr".split())
 
 
 # What surrounds an article: tags that may hold it, words for its class or id, and the kind of text in it.
@@ -214,13 +220,57 @@ def text_features(text: str, linked: float, place: int, total: int) -> list[str]
     return found
 
 
+def _step(value: float, *steps: float) -> int:
+    return sum(value > s for s in steps)
+
+
+def surrounding_features(blocks: list[tuple[str, tuple, float]]) -> list[list[str]]:
+    """For each block of a page: features of the element that groups it with others, and of the blocks next to it."""
+    # each element's entry in the paths is an object of its own
+    groups = [next((id(e) for e in reversed(path) if e[0] in GROUPS), 0) for _, path, _ in blocks]
+    sizes = [text.count(" ") + 1 for text, _, _ in blocks]
+    total: dict[int, list[float]] = {}
+    for g, n, (text, _, linked) in zip(groups, sizes, blocks):
+        t = total.setdefault(g, [0, 0, 0, 0])
+        t[0] += n
+        t[1] += n * linked
+        t[2] += n if n > 4 and _SENTENCE.search(text) else 0
+        t[3] += 1
+    largest = max((t[2] for t in total.values()), default=0)
+    best = max(total, key=lambda g: total[g][2], default=0) if largest else None
+    inside = [i for i, g in enumerate(groups) if g == best]
+    first, last = (inside[0], inside[-1]) if inside else (0, len(blocks))
+    look = [f"{_step(n, 2, 6, 20)}{_step(k, 0, 0.6)}" for n, (_, _, k) in zip(sizes, blocks)]
+    out, below = [], False
+    for i, (g, (text, _, _)) in enumerate(zip(groups, blocks)):
+        words, linked, sentences, n = total[g]
+        found = [
+            f"group-links:{_step(linked / words, 0, 0.2, 0.6)}", f"group-prose:{_step(sentences / words, 0, 0.4, 0.8)}:{_step(words, 6, 25, 100)}", f"group-blocks:{_step(n, 1, 3, 9)}",
+            f"largest:{'in' if g == best else 'before' if i < first else 'after' if i > last else 'between'}:{_step(sentences, 0, 25)}",
+            f"group-share:{_step(sentences / largest if largest else 0, 0, 0.3, 0.99)}",
+            f"before:{look[i - 1] if i else ''}", f"after:{look[i + 1] if i + 1 < len(look) else ''}",
+        ]
+        if sizes[i] <= 14 and _LEGAL.search(text):
+            found += ["legal", f"legal-left:{_step(len(blocks) - i, 1, 3)}"]
+        if sizes[i] <= 8 and _REMARKS.search(text):
+            below = True
+        if below:
+            found.append("below-remarks")
+        if sizes[i] <= 12 and _BYLINE.search(text):
+            found.append("byline")
+        if i and sizes[i - 1] <= 12 and _BYLINE.search(blocks[i - 1][0]):
+            found.append("after-byline")
+        out.append(found)
+    return out
+
+
 def _pages_of(labelled: list[tuple[str, str]]) -> list[tuple[list[list[str]], list[int]]]:
     pages = []
     for page, main in labelled:
         lines, blocks = set(main.split("\n")), leaf_blocks(page)
         if blocks:
             pages.append((
-                [path_features(p) + text_features(t, k, i, len(blocks)) for i, (t, p, k) in enumerate(blocks)],
+                [path_features(p) + text_features(t, k, i, len(blocks)) + near for i, ((t, p, k), near) in enumerate(zip(blocks, surrounding_features(blocks)))],
                 # an unclosed paragraph may run on into what follows it
                 [int(t in lines or any(len(x) > 20 and t.startswith(x) for x in lines)) for t, _, _ in blocks],
             ))
@@ -303,13 +353,13 @@ def main_text(page: str | None, model: dict, known: dict | None = None) -> str:
         return ""
     weights, known = model["features"], {} if known is None else known
     blocks, scores = leaf_blocks(page), []
-    for i, (text, path, linked) in enumerate(blocks):
+    for i, ((text, path, linked), near) in enumerate(zip(blocks, surrounding_features(blocks))):
         base = known.get(path)
         if base is None:
             if len(known) > 20_000:
                 known.clear()
             base = known[path] = sum(weights.get(f, 0.0) for f in path_features(path))
-        scores.append(base + sum(weights.get(f, 0.0) for f in text_features(text, linked, i, len(blocks))))
+        scores.append(base + sum(weights.get(f, 0.0) for f in text_features(text, linked, i, len(blocks)) + near))
     return "\n".join(b[0] for b, keep in zip(blocks, decode(scores, model["moves"], model["ends"])) if keep)
 
 
@@ -327,7 +377,7 @@ def extract(pages: DataFrame, model: dict | None = None) -> DataFrame:
     return pages.withColumn("text", _extractor(pages.sparkSession.sparkContext.broadcast(model))(F.col("html").cast("string")))
 
 
-def labelled_pages(n: int = 900, seed: int = 1) -> list[tuple[str, str]]:
+def labelled_pages(n: int = 1400, seed: int = 1) -> list[tuple[str, str]]:
     """Seeded pages in many layouts, each with its main text."""
     draw = random.Random(seed)
     syllables = [a + b for a in "b d f g k l m n p r s t v".split() for b in "a e i o u an er is on".split()]
@@ -368,6 +418,54 @@ def labelled_pages(n: int = 900, seed: int = 1) -> list[tuple[str, str]]:
         own = draw.sample(names.split(), draw.choice((1, 1, 2)))
         return f'<{tag} {draw.choice(("class", "class", "id"))}="{" ".join(own)}">{inside(kind)}</{tag}>'
 
+    def wording(name: str) -> str:
+        """What surrounds an article, in words only."""
+        site = phrase(2)
+        link = lambda t: f'<a href="/{word()}">{t}</a>'
+        if name == "menu":
+            items = draw.sample(("Home", "About", "Contact", "Archives", "FAQ", "Sign in", "Search", "News", phrase(2), phrase(1), phrase(2)), draw.randint(2, 6))
+            return draw.choice((" | ".join(map(link, items)), " | ".join(items), "<br>".join(map(link, items)), "<ul>" + "".join(f"<li>{link(i)}</li>" for i in items) + "</ul>", " &raquo; ".join(map(link, items))))
+        if name == "header":
+            return draw.choice((site, f"<b>{site}</b>", link(site), f"<font size=5>{site}</font><br><i>{phrase(4)}</i>", f"<h3>{site}</h3>"))
+        if name == "footer":
+            return draw.choice((f"&copy; {draw.randint(1996, 2024)} {site}", f"Copyright {draw.randint(1996, 2024)} {site}. All rights reserved.", " | ".join(map(link, ("Privacy policy", "Terms", "Contact"))), f"{link('Sitemap')} {link('Advertise')}"))
+        if name == "sidebar":
+            head = draw.choice(("Related stories", "Recent posts", "Popular", "Weather", "Tags", "Archives", phrase(2)))
+            return f"<{(t := draw.choice(('h3', 'h4', 'b', 'p', 'div')))}>{head}</{t}>" + draw.choice(("<ul>" + "".join(f"<li>{link(phrase(5))}</li>" for _ in range(draw.randint(2, 5))) + "</ul>", f"<p>{phrase(6)}</p>", f"<p>{prose(1)}</p>", "".join(f"<div>{link(phrase(4))}</div>" for _ in range(draw.randint(2, 5)))))
+        if name == "notice":
+            return draw.choice(("<p>We use cookies to {}.</p>", "<h4>Newsletter</h4><p>Subscribe to {}.</p>", "<p>Sign up for our newsletter: {}</p>", "<p>Subscribe today and {}!</p>")).format(phrase(5).lower())
+        if name == "advert":
+            return draw.choice((f"<p>Advertisement</p><p>{prose(1)}</p>", f"Sponsored: {link(phrase(5))}", f"<p>Sponsored</p><p>{link(sentence(8))}</p>"))
+        if name == "share":
+            return draw.choice((f"Share this: {link(word())} {link(word())}", f"<p>{link('Share')} {link('Follow')}</p>"))
+        if name == "form":
+            return f"<form><label>{draw.choice(('Search', 'Login', 'Password', phrase(2)))}</label><input name=q><button>{phrase(1)}</button></form>"
+        head = draw.choice(("Comments", f"{draw.randint(1, 40)} comments", "Leave a comment", "Responses", "Comments", f"{draw.randint(2, 9)} replies"))
+        tag = draw.choice(("div", "p", "li"))
+        who = lambda: draw.choice((f"<b>{phrase(1)}</b> says:", f"{phrase(2)} wrote:", f"Posted by {phrase(1)}", f"{phrase(1)}, {draw.randint(2, 20)} days ago", ""))
+        each = "".join(f"<{tag}>{by}</{tag}>" * bool(by) + f"<{tag}>{text}</{tag}>" for by, text in ((who(), draw.choice((prose(2), phrase(4), sentence(6)))) for _ in range(draw.randint(1, 5))))
+        return f"<{(t := draw.choice(('h3', 'div', 'p', 'b')))}>{head}</{t}>{each}"
+
+    def unmarked(body: str) -> str:
+        """A page whose markup names nothing: tables, bare elements, or classes that say nothing."""
+        before = draw.sample(("header", "menu", "notice", "advert", "form"), draw.randint(0, 3))
+        after = draw.sample(("sidebar", "comments", "footer", "share", "advert", "notice", "menu"), draw.randint(0, 4))
+        if "footer" in after:
+            after.append(after.pop(after.index("footer")))
+        form = draw.random()
+        if form < 0.3:
+            columns = [f"<td>{wording(b)}</td>" for b in draw.sample(("menu", "sidebar", "advert"), draw.randint(0, 2))]
+            columns.insert(draw.randint(0, len(columns)), f"<td>{body}{''.join(map(wording, [a for a in after if a in ('comments', 'share')]))}</td>")
+            rows = [f"<tr><td>{wording(b)}</td></tr>" for b in before] + [f"<tr>{''.join(columns)}</tr>"] + [f"<tr><td>{wording(a)}</td></tr>" for a in after if a == "footer"]
+            return f'<table width="100%">{"".join(rows)}</table>'
+        tag = draw.choice(("div", "div", "section", "p") if form < 0.65 else ("div",))
+        own = (lambda: "") if form < 0.65 else lambda: f' class="{word()}{draw.choice(("", "-" + word(), str(draw.randint(1, 9))))}"'
+        wrap = lambda b: f"<{tag}{own()}>{b}</{tag}>"
+        return "".join(wrap(wording(b)) for b in before) + draw.choice((f"<div{own()}>{body}</div>", f"<div{own()}>{body}</div>", body)) + "".join(wrap(wording(a)) for a in after)
+
+    def hidden() -> str:
+        return f"<{(t := draw.choice(('p', 'div', 'section')))} {draw.choice(('hidden', 'style=\"display: none\"', 'style=\"display:none\"', 'aria-hidden=true'))}>{draw.choice((prose(3), f'<p>{prose(2)}</p>', phrase(4)))}</{t}>"
+
     def article() -> tuple[str, list[str]]:
         lines, out = [], []
 
@@ -409,6 +507,10 @@ def labelled_pages(n: int = 900, seed: int = 1) -> list[tuple[str, str]]:
             if draw.random() < 0.12:
                 name = draw.choice(("advert", "share", "notice", "form", "sidebar", "comments"))
                 out.append(around(name, name in ("form", "sidebar") and draw.random() < 0.5))
+            if draw.random() < 0.04:
+                out.append(hidden())
+            if draw.random() < 0.03:
+                out.append(f"<aside>{wording(draw.choice(('notice', 'sidebar', 'advert')))}</aside>")
         if draw.random() < 0.2:
             out.append(around(draw.choice(("comments", "comments", "sidebar", "share", "form", "footer")), False))
         return "".join(out), lines
@@ -416,6 +518,9 @@ def labelled_pages(n: int = 900, seed: int = 1) -> list[tuple[str, str]]:
     pages = []
     for _ in range(n):
         body, lines = article()
+        if draw.random() < 0.35:
+            pages.append((f"<html><head><title>{phrase()}</title></head><body>{unmarked(body)}</body></html>", "\n".join(lines)))
+            continue
         style = draw.random()
         if style < 0.45:
             wrapped = draw.choice(("<article>{}</article>", "<main><article>{}</article></main>", "<main>{}</main>")).format(body)
