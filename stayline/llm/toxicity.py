@@ -1,13 +1,14 @@
 """Toxicity by a classifier chain.
 
 The categories are predicted one after the other by logistic models; each model sees the text's features and the probabilities
-of the categories before it. In training those probabilities are out-of-fold ones (each row's come from models that haven't
-seen the row), so that later models learn from values as uncertain as those they will get.
+of the categories before it. In training those probabilities are out-of-fold ones, so that later models learn from values as uncertain
+as those they will get: a row's come from models, and from marks, that were chosen and fitted without any label of its fold.
 
-Labels give one flag, ``toxic``. The chain is ``direct`` (toxic, and some whole word marks it), ``severe`` (toxic, and at
-least three words carry a mark), ``toxic``. Marks are features that are much more frequent in toxic rows: words, and beginnings of
+Labels give two flags, ``quality`` and ``toxic``. The chain is ``poor`` (a quality of 0), ``direct`` (toxic, and some whole word marks
+it), ``severe`` (toxic, and at least three words carry a mark), ``toxic``. Without a ``quality`` column, or where it is null, no row is poor. Marks are features that are much more frequent in toxic rows: words, and beginnings of
 longer words, which catch stems with changing endings. The ``features`` strongest ones by z-score enter the models, and with
-them how surely the surest mark of a text means toxic, and how many of its words are marked.
+them how surely the surest mark of a text means toxic, how many of its words are marked, its share of punctuation and its length. At most the
+``candidates`` most frequent features of toxic rows are weighed.
 
 The model is fitted on a sample of about ``sample`` labelled rows, drawn by a hash of their ids; marks and weights come from
 that sample, whose labels are broadcast. Everything else reads all documents, whole.
@@ -30,9 +31,12 @@ from pyspark.sql import functions as F
 from stayline.llm import words
 from stayline.llm.scratch import stage
 
-CATEGORIES = ("direct", "severe", "toxic")
+CATEGORIES = ("poor", "direct", "severe", "toxic")
 SIZES = (4, 5, 6, 7, 8, 9)
-EXTRA = 3
+EXTRA = 5
+# ASCII characters that are neither letters, digits nor white space
+_MARKS = np.zeros(256, bool)
+_MARKS[33:128] = ~words.PLAIN[33:128]
 
 
 def features(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,19 +92,22 @@ def mark_table(marks: list[tuple[int, float]]) -> dict:
 def marks_of(text: bytes, table: dict) -> tuple[np.ndarray, int, bool, list[float]]:
     """The marks a text has (columns), how many of its words carry one, whether a whole word is one, and ``EXTRA`` numbers.
 
-    These are the log odds of the surest mark, the logarithm of the number of marked words, and their share of all words.
+    These are the log odds of the surest mark, the logarithm of the number of marked words, their share of all words, the share of
+    punctuation, and the logarithm of the number of words.
     """
     hashed, word, size = features(text)
+    n_words = int((size == 0).sum())
+    shape = [3 * float(_MARKS[np.frombuffer(text, np.uint8)].mean()) if text else 0.0, float(np.log1p(n_words)) / 6]
     at = np.flatnonzero(table["seen"][hashed >> np.uint64(48)])
     if len(at):
         place = np.minimum(np.searchsorted(table["hashes"], hashed[at]), len(table["hashes"]) - 1)
         hit = table["hashes"][place] == hashed[at]
         at, place = at[hit], place[hit]
     if not len(at):
-        return np.empty(0, np.int64), 0, False, [0.0] * EXTRA
+        return np.empty(0, np.int64), 0, False, [0.0, 0.0, 0.0, *shape]
     columns, marked = np.unique(table["columns"][place]), len(np.unique(word[at]))
     surest = min(0.995, max(0.05, float(table["shares"][columns].max())))
-    return columns, marked, bool((size[at] == 0).any()), [3 + float(np.log(surest / (1 - surest))), float(np.log1p(marked)), min(3.0, 20 * marked / int((size == 0).sum()))]
+    return columns, marked, bool((size[at] == 0).any()), [3 + float(np.log(surest / (1 - surest))), float(np.log1p(marked)), min(3.0, 20 * marked / n_words), *shape]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 2e-5, rounds: int = 300) -> np.ndarray:
@@ -128,53 +135,81 @@ def _apply(w: np.ndarray, x: np.ndarray) -> np.ndarray:
     return _sigmoid(x @ w[:-1] + w[-1])
 
 
-def fit_chain(x: np.ndarray, targets: list[np.ndarray], fold: np.ndarray) -> list[np.ndarray]:
-    """One model per category; the inputs of a later one end with out-of-fold probabilities of the earlier ones."""
-    models, inputs = [], x
-    for y in targets:
-        models.append(logistic(inputs, y))
+def fit_chain(x: np.ndarray, targets: list[np.ndarray], fold: np.ndarray, views: dict | None = None) -> list[np.ndarray]:
+    """One model per category; the inputs of a later one end with out-of-fold probabilities of the earlier ones.
+
+    ``views`` gives for each fold the inputs and targets as they are without that fold's labels; without it they are ``x`` and ``targets``.
+    """
+    models, earlier = [], np.empty((len(x), 0), np.float32)
+    for k, y in enumerate(targets):
+        models.append(logistic(np.hstack([x, earlier]), y))
         out = np.zeros(len(y), np.float32)
         for f in np.unique(fold):
             rest = fold != f
-            out[~rest] = _apply(logistic(inputs[rest], y[rest]) if rest.any() else models[-1], inputs[~rest])
-        inputs = np.hstack([inputs, out[:, None]])
+            seen, target = (x, y) if views is None else (views[f][0], views[f][1][k])
+            if rest.any():
+                inputs = np.hstack([seen, earlier])
+                out[~rest] = _apply(logistic(inputs[rest], target[rest]), inputs[~rest])
+            else:
+                out[~rest] = y.mean()
+        earlier = np.hstack([earlier, out[:, None]])
     return models
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, features: int = 512, least_z: float = 4.0, folds: int = 3, seed: int = 5) -> dict | None:
-    """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
-    known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    share = min(1.0, sample / max(1, known.count()))
-    drawn = F.broadcast(known.filter(draw < share))  # about ``sample`` rows
-    rows = stage(docs.filter("text is not null").select("doc_id", F.col("text").cast("string")).join(drawn, "doc_id"), "toxicity-sample")
-    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    if not sizes.get(0) or not sizes.get(1):
-        return None
-    marks = choose_marks(rows, sizes[0] + sizes[1], sizes[1], features, least_z)
-    if not marks:
-        return None
+def _marked(rows: DataFrame, marks: list[tuple[int, float]]) -> tuple[dict, np.ndarray, list[np.ndarray], np.ndarray]:
+    """The table of the marks; inputs, targets and folds of the sample, in one order for any marks."""
     table = mark_table(marks)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [marks_of(t, table) for t in words.texts(batch.column(1))]
+            found = [marks_of(t, table) for t in words.texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([f[0].tolist() for f in found], pa.list_(pa.int32())), *(pa.array([f[i] for f in found], k) for i, k in ((1, pa.int32()), (2, pa.bool_()), (3, pa.list_(pa.float32()))))],
-                names=["doc_id", "toxic", "has", "n_marked", "whole", "extra"],
+                [
+                    *(batch.column(c) for c in ("doc_id", "text_hash", "toxic", "poor", "fold")), pa.array([f[0].tolist() for f in found], pa.list_(pa.int32())),
+                    *(pa.array([f[i] for f in found], k) for i, k in ((1, pa.int32()), (2, pa.bool_()), (3, pa.list_(pa.float32())))),
+                ],
+                names=["doc_id", "text_hash", "toxic", "poor", "fold", "has", "n_marked", "whole", "extra"],
             )
 
-    marked = rows.select("doc_id", "text", "toxic").mapInArrow(mark, "doc_id long, toxic int, has array<int>, n_marked int, whole boolean, extra array<float>").collect()
-    marked.sort(key=lambda r: (r["doc_id"], r["has"]))
+    kind = "doc_id long, text_hash long, toxic int, poor int, fold int, has array<int>, n_marked int, whole boolean, extra array<float>"
+    marked = rows.select("doc_id", "text_hash", "toxic", "poor", "fold", "text").mapInArrow(mark, kind).collect()
+    marked.sort(key=lambda r: (r["doc_id"], r["text_hash"]))
     x = np.zeros((len(marked), len(marks) + EXTRA), np.float32)
     for i, r in enumerate(marked):
         x[i, r["has"]] = 1
         x[i, -EXTRA:] = r["extra"]
-    toxic = np.array([r["toxic"] for r in marked], np.float32)
-    direct = toxic * np.array([r["whole"] for r in marked])
-    severe = toxic * (np.array([r["n_marked"] for r in marked]) >= 3)
-    fold = words.mix(np.array([r["doc_id"] for r in marked], np.int64).view(np.uint64)) % np.uint64(folds)
-    return {"table": table, "models": fit_chain(x, [direct, severe, toxic], fold)}
+    column = lambda name: np.array([r[name] for r in marked], np.float32)
+    toxic = column("toxic")
+    return table, x, [column("poor"), toxic * column("whole"), toxic * (column("n_marked") >= 3), toxic], column("fold").astype(np.int64)
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, features: int = 512, least_z: float = 4.0, folds: int = 3, seed: int = 5) -> dict | None:
+    """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic, and quality if there is one)."""
+    poor = F.col("quality") == 0 if "quality" in labels.columns else F.lit(False)
+    known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
+        F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"), F.max(F.when(poor, 1).otherwise(0)).alias("poor")
+    )
+    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    share = min(1.0, sample / max(1, known.count()))
+    drawn = F.broadcast(known.filter(draw < share))  # about ``sample`` rows
+    rows = stage(
+        docs.filter("text is not null").select("doc_id", F.col("text").cast("string")).join(drawn, "doc_id")
+        .withColumn("text_hash", F.xxhash64("text")).withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), F.lit("fold"), "doc_id"), F.lit(folds)).cast("int")),
+        "toxicity-sample",
+    )
+    sizes = {(r["fold"], r["toxic"]): r["count"] for r in rows.groupBy("fold", "toxic").count().collect()}
+
+    def marks_without(fold: int | None) -> list[tuple[int, float]]:
+        clean, toxic = (sum(n for (f, t), n in sizes.items() if t == kind and f != fold) for kind in (0, 1))
+        kept = rows if fold is None else rows.filter(F.col("fold") != fold)
+        return choose_marks(kept, clean + toxic, toxic, features, least_z) if clean and toxic else []
+
+    marks = marks_without(None)
+    if not marks:
+        return None
+    table, x, targets, fold = _marked(rows, marks)
+    views = {f: _marked(rows, marks_without(f))[1:3] for f in np.unique(fold).tolist()}
+    return {"table": table, "models": fit_chain(x, targets, fold, views)}
 
 
 def _predictor(model: Broadcast, threshold: float):

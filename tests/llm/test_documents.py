@@ -238,6 +238,39 @@ def test_chain_feeds_earlier_categories():
     assert [len(m) for m in models] == [7, 8] and models[1][6] > 0.5
 
 
+def test_out_of_fold_inputs_know_no_label_of_their_fold(spark):
+    """With random labels, marks chosen with all labels would fit; those of the other folds do not."""
+    draw = random.Random(11)
+    rows = [(i, " ".join(draw.choices([f"q{k}" for k in range(400)], k=20)), draw.randint(0, 1), draw.randint(0, 1)) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int, quality int")
+    seen = {}
+
+    def keep(x, targets, fold, views=None):
+        seen.update(x=x, targets=targets, fold=fold, views=views)
+        return original(x, targets, fold, views)
+
+    original, toxicity.fit_chain = toxicity.fit_chain, keep
+    try:
+        toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic", "quality"), least_z=1.0)
+    finally:
+        toxicity.fit_chain = original
+    toxic, fold = seen["targets"][3], seen["fold"]
+    leak = seen["x"][:, -5]
+    clean = sum(seen["views"][f][0][:, -5] * (fold == f) for f in seen["views"])
+    gap = lambda v: v[toxic == 1].mean() - v[toxic == 0].mean()
+    assert gap(leak) > 0.1 and abs(gap(clean)) < 0.5 * gap(leak)
+    assert seen["targets"][0].sum() == sum(r[3] == 0 for r in rows)
+
+
+def test_toxicity_ignores_odd_labels(spark):
+    """Null qualities are not poor, labels above 1 are toxic, ties between repeated labels go to the larger."""
+    rows = [(i, ("grumbo snarf " if i % 3 == 0 else "") + f"w{i % 7} w{i % 5}", 2 if i % 3 == 0 else 0, None if i % 2 else 1) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int, quality int")
+    labels = df.select("doc_id", "toxic", "quality").union(df.selectExpr("doc_id", "0", "null"))
+    got = toxicity.score(df.select("doc_id", "text"), toxicity.fit(df, labels)).collect()
+    assert all(r["toxicity"]["toxic"] == (r["doc_id"] % 3 == 0) and r["toxicity"]["p_poor"] < 0.5 for r in got)
+
+
 def test_every_labelled_language_is_learned(spark):
     """Many languages of one or two rows each: none is lost to the draw of the sample."""
     letters = "abcdefghijklmnopqrstuvwxyz"
