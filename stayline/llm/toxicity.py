@@ -11,7 +11,8 @@ them how surely the surest mark of a text means toxic, how many of its words are
 ``candidates`` most frequent features of toxic rows are weighed.
 
 The model is fitted on a sample of about ``sample`` labelled rows, drawn by a hash of their ids; marks and weights come from
-that sample, whose labels are broadcast. Everything else reads all documents, whole.
+that sample, whose labels are broadcast. The driver holds its inputs as lists of marks, never as a matrix. Everything else reads all
+documents, whole.
 
 Nulls: a null or empty text has probability 0 in all categories and isn't toxic. Labels that are null are ignored; if a document has
 several labels the largest counts. Without labels, or with labels of one kind only, nothing is toxic. Repeated rows come
@@ -110,17 +111,71 @@ def marks_of(text: bytes, table: dict) -> tuple[np.ndarray, int, bool, list[floa
     return columns, marked, bool((size[at] == 0).any()), [3 + float(np.log(surest / (1 - surest))), float(np.log1p(marked)), min(3.0, 20 * marked / n_words), *shape]
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 2e-5, rounds: int = 300) -> np.ndarray:
+class Inputs:
+    """Inputs of the models, row by row: the marks that a text has, by column, then ``plain`` columns of any value.
+
+    A text has few of the marks; as a matrix they would take 2 kB a row on the driver, once more for each fold and copy.
+    Columns count as in that matrix: marks first.
+    """
+
+    BLOCK = 4096
+
+    def __init__(self, starts: np.ndarray, marks: np.ndarray, n_marks: int, plain: np.ndarray):
+        self.starts, self.marks, self.n_marks, self.plain = starts, marks, n_marks, plain
+
+    @classmethod
+    def of(cls, x: Inputs | np.ndarray) -> Inputs:
+        return x if isinstance(x, cls) else cls(np.zeros(len(x) + 1, np.int64), np.empty(0, np.int32), 0, x)
+
+    def __len__(self) -> int:
+        return len(self.plain)
+
+    @property
+    def width(self) -> int:
+        return self.n_marks + self.plain.shape[1]
+
+    def __getitem__(self, at: tuple[slice, int]) -> np.ndarray:
+        """A column, as of a matrix."""
+        return self.times(np.eye(1, self.width, at[1] % self.width, dtype=np.float32)[0])[at[0]]
+
+    def extended(self, columns: np.ndarray) -> Inputs:
+        return Inputs(self.starts, self.marks, self.n_marks, np.hstack([self.plain, columns]))
+
+    def rows(self, keep: np.ndarray) -> Inputs:
+        sizes = np.diff(self.starts)
+        return Inputs(np.concatenate([[0], np.cumsum(sizes[keep])]), self.marks[np.repeat(keep, sizes)], self.n_marks, self.plain[keep])
+
+    def _blocks(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        for at in range(0, len(self), self.BLOCK):
+            starts = self.starts[at : at + self.BLOCK + 1]
+            yield slice(at, at + len(starts) - 1), np.repeat(np.arange(len(starts) - 1), np.diff(starts)), self.marks[starts[0] : starts[-1]]
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        """The sum of each row's columns times ``w``."""
+        out = self.plain @ w[self.n_marks :]
+        for rows, owner, marks in self._blocks():
+            out[rows] += np.bincount(owner, w[marks], rows.stop - rows.start)
+        return out
+
+    def sums(self, v: np.ndarray) -> np.ndarray:
+        """The sum of each column over the rows times ``v``."""
+        out = np.zeros(self.n_marks)
+        for rows, owner, marks in self._blocks():
+            out += np.bincount(marks, v[rows][owner], self.n_marks)
+        return np.concatenate([out, v @ self.plain])
+
+
+def logistic(x: Inputs | np.ndarray, y: np.ndarray, penalty: float = 2e-5, rounds: int = 300) -> np.ndarray:
     """Weights (the intercept last) of an L2-regularised logistic model, by accelerated gradient steps.
 
     Each weight has a step of its own, from a bound of its curvature: rare marks would hardly move with a common one.
     """
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    bound = 0.25 * (x * x.sum(axis=1)[:, None]).mean(axis=0)
+    x = Inputs.of(x).extended(np.ones((len(x), 1), np.float32))
+    bound = 0.25 * x.sums(x.times(np.ones(x.width, np.float32))) / len(x)
     step = 1 / (bound + penalty)
-    w = ahead = np.zeros(x.shape[1], np.float32)
+    w = ahead = np.zeros(x.width, np.float32)
     for k in range(rounds):
-        slope = x.T @ (_sigmoid(x @ ahead) - y) / len(x)
+        slope = x.sums(_sigmoid(x.times(ahead)) - y) / len(x)
         slope[:-1] += penalty * ahead[:-1]
         new = (ahead - step * slope).astype(np.float32)
         w, ahead = new, new + np.float32(k / (k + 3)) * (new - w)
@@ -131,32 +186,32 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _apply(w: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return _sigmoid(x @ w[:-1] + w[-1])
+def _apply(w: np.ndarray, x: Inputs) -> np.ndarray:
+    return _sigmoid(x.times(w[:-1]) + w[-1])
 
 
-def fit_chain(x: np.ndarray, targets: list[np.ndarray], fold: np.ndarray, views: dict | None = None) -> list[np.ndarray]:
+def fit_chain(x: Inputs | np.ndarray, targets: list[np.ndarray], fold: np.ndarray, views: dict | None = None) -> list[np.ndarray]:
     """One model per category; the inputs of a later one end with out-of-fold probabilities of the earlier ones.
 
     ``views`` gives for each fold the inputs and targets as they are without that fold's labels; without it they are ``x`` and ``targets``.
     """
     models, earlier = [], np.empty((len(x), 0), np.float32)
     for k, y in enumerate(targets):
-        models.append(logistic(np.hstack([x, earlier]), y))
+        models.append(logistic(Inputs.of(x).extended(earlier), y))
         out = np.zeros(len(y), np.float32)
         for f in np.unique(fold):
             rest = fold != f
             seen, target = (x, y) if views is None else (views[f][0], views[f][1][k])
             if rest.any():
-                inputs = np.hstack([seen, earlier])
-                out[~rest] = _apply(logistic(inputs[rest], target[rest]), inputs[~rest])
+                inputs = Inputs.of(seen).extended(earlier)
+                out[~rest] = _apply(logistic(inputs.rows(rest), target[rest]), inputs.rows(~rest))
             else:
                 out[~rest] = y.mean()
         earlier = np.hstack([earlier, out[:, None]])
     return models
 
 
-def _marked(rows: DataFrame, marks: list[tuple[int, float]]) -> tuple[dict, np.ndarray, list[np.ndarray], np.ndarray]:
+def _marked(rows: DataFrame, marks: list[tuple[int, float]]) -> tuple[dict, Inputs, list[np.ndarray], np.ndarray]:
     """The table of the marks; inputs, targets and folds of the sample, in one order for any marks."""
     table = mark_table(marks)
 
@@ -172,13 +227,12 @@ def _marked(rows: DataFrame, marks: list[tuple[int, float]]) -> tuple[dict, np.n
             )
 
     kind = "doc_id long, text_hash long, toxic int, poor int, fold int, has array<int>, n_marked int, whole boolean, extra array<float>"
-    marked = rows.select("doc_id", "text_hash", "toxic", "poor", "fold", "text").mapInArrow(mark, kind).collect()
-    marked.sort(key=lambda r: (r["doc_id"], r["text_hash"]))
-    x = np.zeros((len(marked), len(marks) + EXTRA), np.float32)
-    for i, r in enumerate(marked):
-        x[i, r["has"]] = 1
-        x[i, -EXTRA:] = r["extra"]
-    column = lambda name: np.array([r[name] for r in marked], np.float32)
+    marked = rows.select("doc_id", "text_hash", "toxic", "poor", "fold", "text").mapInArrow(mark, kind).toArrow()
+    marked = marked.take(np.lexsort((marked["text_hash"].to_numpy(), marked["doc_id"].to_numpy()))).combine_chunks()
+    column = lambda name: marked[name].to_numpy().astype(np.float32)
+    lists = lambda name: marked[name].combine_chunks()
+    has, extra = lists("has"), lists("extra").flatten().to_numpy().reshape(-1, EXTRA)
+    x = Inputs(np.concatenate([[0], np.cumsum(has.value_lengths().to_numpy(), dtype=np.int64)]), has.flatten().to_numpy(), len(marks), extra)
     toxic = column("toxic")
     return table, x, [column("poor"), toxic * column("whole"), toxic * (column("n_marked") >= 3), toxic], column("fold").astype(np.int64)
 

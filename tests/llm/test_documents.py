@@ -262,6 +262,27 @@ def test_out_of_fold_inputs_know_no_label_of_their_fold(spark):
     assert seen["targets"][0].sum() == sum(r[3] == 0 for r in rows)
 
 
+def test_the_fit_holds_no_matrix_of_all_marks_on_the_driver(spark):
+    """The sample's inputs, for all folds, take the driver a small part of rows x marks numbers."""
+    import tracemalloc
+
+    draw = random.Random(3)
+    clean, bad = [f"w{i}" for i in range(400)], [f"vile{i:03d}" for i in range(400)]
+    rows = [(i, " ".join([*draw.choices(clean, k=20), *(draw.choices(bad, k=6) if i % 3 == 0 else ())]), int(i % 3 == 0)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(8)
+    rows.clear()
+    tracemalloc.start()
+    try:
+        model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    marks = len(model["table"]["hashes"])
+    assert marks > 300 and peak < 2 * 6000 * marks * 4
+    got = toxicity.score(df, model).collect()
+    assert sum(r["toxicity"]["toxic"] == r["toxic"] for r in got) > 0.99 * 6000
+
+
 def test_toxicity_ignores_odd_labels(spark):
     """Null qualities are not poor, labels above 1 are toxic, ties between repeated labels go to the larger."""
     rows = [(i, ("grumbo snarf " if i % 3 == 0 else "") + f"w{i % 7} w{i % 5}", 2 if i % 3 == 0 else 0, None if i % 2 else 1) for i in range(120)]
