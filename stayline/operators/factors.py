@@ -40,6 +40,11 @@ class Settings:
     hot: int = 100_000
 
 
+def blocks(ratings: DataFrame, settings: Settings, least: int) -> int:
+    """So many blocks that one holds about ``block_rows`` ratings, whatever the table's size, and ``least`` at least."""
+    return max(1, -(-ratings.count() // settings.block_rows), least)
+
+
 class Links:
     """Ratings dealt into blocks by ``to``; ``sources`` says which blocks need the factor of which id."""
 
@@ -77,23 +82,26 @@ def normal_equations(links: Links, factors: DataFrame, settings: Settings) -> Da
         order = np.argsort(known)
         known, f = known[order], factors["factors"].combine_chunks().flatten().to_numpy().reshape(-1, rank)[order]
         to, source, r = (ratings[c].to_numpy() for c in ("to", "source", "rating"))
-        at = np.minimum(np.searchsorted(known, source), len(known) - 1)
-        there = np.flatnonzero(known[at] == source)
-        there = there[np.argsort(to[there], kind="stable")]
-        to, at, r = to[there], at[there], r[there]
-        ids = np.unique(to)
-        values = np.zeros((len(ids), rank * rank + rank + 1))
-        for low in range(0, len(to), CHUNK):  # products of a few ratings at a time
+        ids, place = np.unique(to, return_inverse=True)
+        values, met = np.zeros((len(ids), rank * rank + rank + 1)), np.zeros(len(ids), bool)
+        for low in range(0, len(to), CHUNK):  # a few ratings at a time
             part = slice(low, low + CHUNK)
-            own, starts = np.unique(to[part], return_index=True)
-            x, y = f[at[part]], r[part]
+            at = np.minimum(np.searchsorted(known, source[part]), len(known) - 1)
+            there = np.flatnonzero(known[at] == source[part])
+            there = there[np.argsort(place[part][there], kind="stable")]
+            if not len(there):
+                continue
+            own, starts = np.unique(place[part][there], return_index=True)
+            x, y = f[at[there]], r[part][there]
             weight, goal, counted = np.ones_like(y), y, np.ones_like(y)
             if alpha is not None:
                 weight, counted = alpha * np.abs(y), (y > 0).astype(float)
                 goal = counted * (1.0 + weight)
             products = np.hstack([(x[:, :, None] * (weight[:, None] * x)[:, None, :]).reshape(len(y), -1), x * goal[:, None], counted[:, None]])
-            first = np.searchsorted(ids, own[0])
-            values[first : first + len(own)] += np.add.reduceat(products, starts)
+            values[own] += np.add.reduceat(products, starts)
+            met[own] = True
+        if not met.all():
+            ids, values = ids[met], values[met]
         return pa.table({"id": ids, "values": pa.FixedSizeListArray.from_arrays(values.ravel(), values.shape[1]).cast(pa.list_(pa.float64()))})
 
     partial = links.ratings.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(equations, "id long, values array<double>")
@@ -172,8 +180,8 @@ def train(ratings: DataFrame, settings: Settings = Settings(), sweeps: int = 10,
     rows = ratings.where("user is not null and item is not null and rating is not null").select(
         F.col("user").cast("long").alias("user"), F.col("item").cast("long").alias("item"), "rating"
     )
-    blocks = max(1, -(-rows.count() // settings.block_rows), int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    by_user, by_item = Links(rows, "user", "item", settings, blocks), Links(rows, "item", "user", settings, blocks)
+    n = blocks(rows, settings, int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    by_user, by_item = Links(rows, "user", "item", settings, n), Links(rows, "item", "user", settings, n)
     items = start if start is not None else initial(rows.select(F.col("item").alias("id")).distinct(), settings)
     items, users = cut_lineage(items), None
     for _ in range(sweeps):
