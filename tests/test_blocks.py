@@ -9,7 +9,7 @@ import __spark_entry__ as contract
 from stayline.operators import factors, models
 
 
-@pytest.mark.parametrize("name", ["ml_als"])
+@pytest.mark.parametrize("name", ["ml_als", "ml_als_implicit"])
 def test_als_blocks_hold_a_bounded_number_of_ratings(spark, sf, name, monkeypatch):
     monkeypatch.setattr(models, "BLOCK_RATINGS", 500, raising=False)
     seen, fit = [], models.fit
