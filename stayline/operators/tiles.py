@@ -420,5 +420,7 @@ def row_tiles(rows: DataFrame, cells: str, size: int = SIZE) -> DataFrame:
 
 def gram_wide(rows: DataFrame, cells: str, size: int = SIZE) -> DataFrame:
     """Tiles on and above the diagonal of XᵀX for rows of sparse cells: pairs of column ranges, so no task holds width²."""
-    x = row_tiles(rows, cells, size)
-    return multiply(transpose(x, size), x, size, upper=True)
+    x = cut_lineage(row_tiles(rows, cells, size))
+    turned = transpose(x, size)
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _product(turned, x, size, _sides(_ends(turned, x), tasks, size), True, HELD)

@@ -56,3 +56,23 @@ def test_cells_that_are_not_finite_stay_with_their_partners(spark):
     a[3, 2], b[2, :] = np.inf, 0
     got = dense(tiles.untile(tiles.multiply(tiles.tile(triples(spark, a), 4), tiles.tile(triples(spark, b), 4), 4), 4), (8, 8))
     assert np.array_equal(got, np.full((8, 8), 7.0))
+
+
+def test_gram_wide_makes_its_rows_once_and_holds_their_cells_only(spark):
+    """Rows of few cells over many columns; the rows' own work isn't done again for each side of the product."""
+    x = scattered(7, (500, 1000), 4000)
+    rows = [([(int(j), float(r[j])) for j in np.flatnonzero(r)],) for r in x]
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    cells = "cells array<struct<j: int, v: double>>"
+    df = spark.createDataFrame(rows, cells).repartition(3).mapInArrow(count, cells)
+    assert held_cells(tiles.row_tiles(df, "cells")) == np.count_nonzero(x)
+    made.value = 0
+    got = tiles.untile(tiles.gram_wide(df, "cells")).where("i <= j")
+    assert np.array_equal(dense(got, (1000, 1000)), np.triu(x.T @ x))
+    assert made.value == len(rows)
